@@ -1,9 +1,25 @@
 """DuckDB SQL for the training-data queries that SQL can express."""
 
+from tidemark.llm.license_scan import RULES, SENTENCES, normalise
+
+_KNOWN = list(dict.fromkeys(map(normalise, SENTENCES)))
+_ID = {normalise(s): i for i, s in reversed(list(enumerate(SENTENCES)))}
+_SENTENCE_ID = "CASE s " + " ".join(f"WHEN '{s}' THEN {_ID[s]}" for s in _KNOWN) + " END"
+_RULES = ", ".join(f"""CASE WHEN contains(told, ',{",".join(str(_ID[normalise(SENTENCES[i])]) for i in r.ids)},') THEN '{r.licence}' END""" for r in RULES)
+
 SQL = {
     "op8_exact_dedup": r"""
         WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256
         FROM n WINDOW w AS (PARTITION BY text_sha256)
     """,
+    "op9_license_scans": rf"""
+        WITH p AS (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '([.!?:])[\x20\x09-\x0D]+', '\1' || chr(10), 'g'), chr(10)) AS parts FROM documents),
+        n AS (SELECT doc_id, list_transform(parts, lambda x: trim(regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g'), ' ')) AS ss FROM p),
+        i AS (SELECT doc_id, coalesce(array_to_string(list_filter(list_transform(ss, lambda s: {_SENTENCE_ID}), lambda x: x IS NOT NULL), ','), '') AS ids FROM n),
+        t AS (SELECT doc_id, ids, ',' || ids || ',' AS told FROM i),
+        m AS (SELECT doc_id, ids, list_filter([{_RULES}], lambda x: x IS NOT NULL) AS hits FROM t)
+        SELECT doc_id, ids AS sentence_ids, coalesce(array_to_string(list_sort(list_distinct(hits)), ','), '') AS licences, len(hits) AS n_rules FROM m
+    """,
+    "op1_token_counts": None,
 }
