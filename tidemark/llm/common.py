@@ -69,6 +69,30 @@ def text_of(column: str | Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once a context."""
+    import io
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_tidemark_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for d, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    z.write(os.path.join(d, name), os.path.relpath(os.path.join(d, name), os.path.dirname(top)))
+    path = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark.zip")
+    with open(path, "wb") as f:
+        f.write(data.getvalue())
+    sc.addPyFile(path)
+    sc._tidemark_shipped = True
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the rows of an Arrow batch, since a row holds a whole text."""
+    """Prepare for Python workers: ship the package, and bound the rows of an Arrow batch, since a row holds a whole text."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

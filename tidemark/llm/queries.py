@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, exact_dedup, license_scan, packing, quality, secret_scan, sharding, token_counts
+from tidemark.llm import bpe, exact_dedup, license_scan, ngram_join, packing, quality, secret_scan, sharding, token_counts
 from tidemark.llm.common import load
 from tidemark.llm.sql import SQL
 
@@ -41,6 +41,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(load(spark, sf_dir, "documents")).drop("row_key")
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.groups(load(spark, sf_dir, "documents")).drop("row_key", "kept")
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(load(spark, sf_dir, "documents"))
 
