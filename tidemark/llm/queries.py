@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, exact_dedup, license_scan, ngram_join, packing, quality, secret_scan, sharding, token_counts
+from tidemark.llm import bpe, exact_dedup, katz, license_scan, ngram_join, packing, quality, secret_scan, sharding, token_counts
 from tidemark.llm.common import load
 from tidemark.llm.sql import SQL
 
@@ -57,6 +57,10 @@ def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.digest(load(spark, sf_dir, "documents"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(load(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     own = {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
     return dict(sorted(own.items(), key=lambda x: int(x[0][2:].split("_")[0])))
