@@ -17,7 +17,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import combinations
-from math import comb
+from math import comb, exp, factorial
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +27,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import materialise, scratch, small_batches
 from tidemark.llm.components import components
 
-#: A cell of fewer n-grams than LEAST says little; SPARE more cells than needed make up for as many such cells in a set.
-LEAST, SPARE = 3, 2
-
 _M1, _M2, _M3 = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
 
 
@@ -76,11 +73,16 @@ class Shingles:
         return np.unique(key)
 
 
+def small(mean: float, large: int) -> float:
+    """The share of cells with under `large` n-grams, of `mean` on average."""
+    return exp(-mean) * sum(mean**i / factorial(i) for i in range(large))
+
+
 class Scheme:
     """How a set of n n-grams is entered, for links at a Jaccard similarity of percent / 100 or more."""
 
     def __init__(self, percent: int = 90, list_cost: float = 4.0) -> None:
-        self.percent = percent
+        self.percent, self.known = percent, {}
         self.tops, low = [], 1
         while low < 1 << 40:
             self.tops.append(max(low, low * 100 // percent))
@@ -94,9 +96,22 @@ class Scheme:
     def enumerated(self, n: int) -> int:
         return sum(comb(n, c) for c in range(self.least(n), n + 1))
 
+    def differ(self, k: int) -> int:
+        """The most n-grams by which two linked sets of size classes k - 1 and k can differ."""
+        return (100 - self.percent) * 2 * self.tops[k] // (100 + self.percent)
+
+    def layout(self, k: int) -> tuple[int, int]:
+        """Hash classes for those sets, and how many n-grams make a cell large. A set with fewer small cells than there are
+        classes beyond differ() needn't enter those, which say little: among the cells in which it agrees with a linked
+        set, one is large. There are classes enough for half as many again small cells as the least set has on average."""
+        if k not in self.known:
+            low, d = self.tops[k - 2] + 1 if k > 1 else 1, self.differ(k)
+            fits = ((d + 1 + s, large) for large in (3, 2, 1) for s in range(1, max(3, d // 4)) if 1.5 * (d + 1 + s) * small(low / (d + 1 + s), large) <= s)
+            self.known[k] = next(fits, (d + 1, 1))
+        return self.known[k]
+
     def cells(self, k: int) -> int:
-        """Hash classes for the sets of size classes k - 1 and k: more than the n-grams by which two that link can differ."""
-        return (100 - self.percent) * 2 * self.tops[k] // (100 + self.percent) + 1 + SPARE
+        return self.layout(k)[0]
 
     def entered(self, n: int) -> int:
         k = bisect_left(self.tops, n)
@@ -116,14 +131,14 @@ class Scheme:
         if n >= self.least(self.boundary + 1):
             k = bisect_left(self.tops, n)
             for group in (k, k + 1):
-                cells = self.cells(group)
+                cells, large = self.layout(group)
                 at = (grams % np.uint64(cells)).astype(np.int64)
                 count = np.bincount(at, minlength=cells)
                 order = np.argsort(at, kind="stable")
                 run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(m[order], dtype=np.uint64)])
                 ends = np.cumsum(count)
                 keys = salted(run[ends] - run[ends - count], group, np.arange(cells))
-                out.append(keys[count >= LEAST] if (count < LEAST).sum() <= SPARE else keys)
+                out.append(keys[count >= large] if (count < large).sum() < cells - self.differ(group) else keys)
         return np.concatenate(out)
 
 
@@ -358,7 +373,7 @@ def groups(docs: DataFrame, percent: int = 90, size: int = 3, id_col: str = "doc
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = 90, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay when each group keeps its smallest id, all columns."""
-    stay = groups(docs, id_col=id_col, text_col=text_col).where("kept").select(F.col("row_key").alias("_row_key"))
+    stay = groups(docs, percent, size, id_col, text_col).where("kept").select(F.col("row_key").alias("_row_key"))
     return docs.withColumn("_row_key", F.monotonically_increasing_id()).join(stay, "_row_key", "left_semi").drop("_row_key")

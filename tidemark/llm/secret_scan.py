@@ -124,8 +124,9 @@ def digest(versions: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", ledger_path: str | None = None) -> DataFrame:
-    """docs with every found span replaced; overlapping spans are replaced once. Texts without findings stay as they are."""
+def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", length_col: str | None = None, ledger_path: str | None = None) -> DataFrame:
+    """docs with every found span replaced, and length_col set to the new length in those; overlapping spans are replaced
+    once. Texts without findings, null ones too, stay as they are."""
     rows = findings(docs, ledger_path, text_col=text_col)
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -137,4 +138,7 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", ledg
 
     done = F.aggregate("_found", start, step)
     text = F.when(F.size("_found") == 0, F.col(text_col)).otherwise(F.concat(done["out"], F.substring(F.col(text_col), done["at"] + 1, F.length(text_col))))
-    return rows.withColumn(text_col, text).select(*docs.columns)
+    rows = rows.withColumn(text_col, text)
+    if length_col:
+        rows = rows.withColumn(length_col, F.when(F.size("_found") == 0, F.col(length_col)).otherwise(F.length(text_col)).cast(docs.schema[length_col].dataType))
+    return rows.select(*docs.columns)
