@@ -127,7 +127,7 @@ def accessions(docs: DataFrame, key: str, text: str) -> DataFrame:
     single = rows.select(key, masked.alias("t"))
     for kind, pattern in IN_TEXT.items():
         hits = single.where(F.col("t").rlike(rf"(?i)\b{pattern}\b"))
-        parts.append(hits.select(key, F.upper(F.explode(F.regexp_extract_all("t", F.lit(rf"(?i)\b{pattern}\b"), F.lit(0)))).alias("accession"), F.lit(kind).alias("identifier_type")))
+        parts.append(hits.select(key, F.explode(F.regexp_extract_all(F.upper("t"), F.lit(rf"\b{pattern}\b"), F.lit(0))).alias("accession"), F.lit(kind).alias("identifier_type")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
