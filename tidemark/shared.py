@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,3 +53,19 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     path = scratch(spark, tag)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once a context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tidemark_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark.zip")  # the driver's copy; Spark sends it on
+    with zipfile.ZipFile(path, "w") as z:
+        for d, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    z.write(os.path.join(d, name), os.path.relpath(os.path.join(d, name), os.path.dirname(top)))
+    sc.addPyFile(path)
+    sc._tidemark_shipped = True

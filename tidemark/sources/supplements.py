@@ -13,6 +13,7 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from tidemark.shared import ship
 from tidemark.sources.payloads import walk
 
 #: Usual column headers and the field that they stand for.
@@ -115,4 +116,5 @@ def cells(files: DataFrame) -> DataFrame:
                     out.append((path, path, 0, "unreadable", "", type(e).__name__))
             yield pd.DataFrame(out, columns=["path", "member", "row", "field", "locator", "value"])
 
+    ship(files.sparkSession)
     return files.select("path", "content").mapInPandas(run, CELLS)

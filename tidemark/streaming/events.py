@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidemark.shared import ship
+
 
 def watermarked(events: DataFrame, late: str) -> DataFrame:
     return events.withWatermark("ts", late) if events.isStreaming else events
@@ -90,4 +92,5 @@ class TaskMachine(StatefulProcessor):
 
 def task_states(events: DataFrame, most: int = 3, stale_ms: int = 3_600_000) -> DataFrame:
     """The stream of task states over a stream of (task_id, event, ts, event_id)."""
+    ship(events.sparkSession)
     return events.groupBy("task_id").transformWithStateInPandas(TaskMachine(most, stale_ms), outputStructType="task_id long, status string, attempts int", outputMode="Update", timeMode="ProcessingTime")
