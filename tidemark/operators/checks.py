@@ -16,32 +16,44 @@ def outcome(status: str, severity: str) -> Column:
     return F.struct(F.lit(status).alias("status"), F.lit(severity).alias("severity"))
 
 
-NOT_ASSESSED, CONFIRMED = outcome("not_assessed", "info"), outcome("confirmed", "info")
-WRONG, LATE = outcome("unsupported", "error"), outcome("unsupported", "warning")
+def not_assessed() -> Column:
+    return outcome("not_assessed", "info")
+
+
+def confirmed() -> Column:
+    return outcome("confirmed", "info")
+
+
+def wrong() -> Column:
+    return outcome("unsupported", "error")
+
+
+def late() -> Column:
+    return outcome("unsupported", "warning")
 
 
 def coordinates(value: Column) -> Column:
     p = lat_lon(value)
-    return F.when(p.isNull(), NOT_ASSESSED).when((F.abs(p["lat"]) <= 90) & (F.abs(p["lon"]) <= 180), CONFIRMED).otherwise(WRONG)
+    return F.when(p.isNull(), not_assessed()).when((F.abs(p["lat"]) <= 90) & (F.abs(p["lon"]) <= 180), confirmed()).otherwise(wrong())
 
 
 def depth(value: Column) -> Column:
     d = depth_metres(value)
-    return F.when(d.isNull(), NOT_ASSESSED).when(d.between(0, DEEPEST), CONFIRMED).otherwise(WRONG)
+    return F.when(d.isNull(), not_assessed()).when(d.between(0, DEEPEST), confirmed()).otherwise(wrong())
 
 
 def collected_before(value: Column, year: Column) -> Column:
     d = calendar_date(value)
-    return F.when(d.isNull(), NOT_ASSESSED).when(F.year(d) > year, LATE).otherwise(CONFIRMED)
+    return F.when(d.isNull(), not_assessed()).when(F.year(d) > year, late()).otherwise(confirmed())
 
 
 def primer(value: Column) -> Column:
     v = F.regexp_replace(value, r"\s", "")
-    return F.when((F.length(v) >= 6) & v.rlike(NUCLEOTIDES), CONFIRMED).otherwise(NOT_ASSESSED)
+    return F.when((F.length(v) >= 6) & v.rlike(NUCLEOTIDES), confirmed()).otherwise(not_assessed())
 
 
 def accession(kind: Column, value: Column) -> Column:
-    return F.when(identifiers.normalise(kind, value).isNull(), WRONG).otherwise(CONFIRMED)
+    return F.when(identifiers.normalise(kind, value).isNull(), wrong()).otherwise(confirmed())
 
 
 def by_field(name: Column, value: Column, year: Column) -> Column:

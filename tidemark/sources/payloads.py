@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -64,8 +65,6 @@ def walk(node: object, path: str = "$") -> Iterator[tuple[str, str, str]]:
 def leaves(body: Column) -> Column:
     """The leaves of a JSON text, array<struct<key, path, value>>; none for text that isn't JSON. An Arrow-batched UDF:
     no built-in walks JSON of unknown shape."""
-    import pandas as pd
-
     def of(s: pd.Series) -> pd.Series:
         def one(x: str) -> list:
             try:
