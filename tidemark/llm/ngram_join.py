@@ -238,8 +238,8 @@ def nodes_from(b: bytes) -> np.ndarray:
 
 
 def lists(found: DataFrame) -> DataFrame:
-    """(bucket, node, weight): the members of every key that two or more nodes have. Keys with the same members in a part of
-    the key range are one bucket, whose weight is their number."""
+    """(bucket, node, weight): the members of every key that two or more nodes have. Keys with the same members are one bucket,
+    named by a hash of those, whose weight is their number."""
 
     def scan(part: pa.Table) -> pa.Table:
         keys = np.concatenate([unsqueezed(b) for b in part.column("keys").to_pylist()])
@@ -254,13 +254,15 @@ def lists(found: DataFrame) -> DataFrame:
         prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(nodes), dtype=np.uint64)])
         shared = sizes > 1
         s, n = starts[shared], sizes[shared]
-        _, first, weight = np.unique(np.stack([prefix[s + n] - prefix[s], n.astype(np.uint64)]), axis=1, return_index=True, return_counts=True) if len(s) else (None, np.zeros(0, np.int64), np.zeros(0, np.int64))
+        names, first, weight = np.unique(np.stack([prefix[s + n] - prefix[s], n.astype(np.uint64)]), axis=1, return_index=True, return_counts=True) if len(s) else (np.zeros((2, 0), np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        names = salted(names[0], names[1])
         s, n = s[first], n[first]
         rows = np.repeat(s - np.concatenate([[0], np.cumsum(n)[:-1]]).astype(np.int64), n) + np.arange(n.sum()) if len(s) else np.zeros(0, np.int64)
-        return pa.table({"bucket": signed(np.repeat(keys[s], n)), "node": signed(nodes[rows]), "weight": pa.array(np.repeat(weight, n), pa.int64())})
+        return pa.table({"bucket": signed(np.repeat(names, n)), "node": signed(nodes[rows]), "weight": pa.array(np.repeat(weight, n), pa.int64())})
 
     blocks = found.where("part IS NOT NULL").select("part", "keys", "nodes")
-    return materialise(blocks.groupBy("part").applyInArrow(scan, "bucket long, node long, weight long"), "ngram-lists")
+    members = blocks.groupBy("part").applyInArrow(scan, "bucket long, node long, weight long")
+    return materialise(members.groupBy("bucket", "node").agg(F.sum("weight").alias("weight")), "ngram-lists")
 
 
 def compared(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
@@ -281,26 +283,23 @@ def compared(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> Dat
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(test, "a long, b long")
 
 
-def compared_in_full(members: DataFrame, texts: DataFrame, percent: int, size: int, tile: int = 512) -> DataFrame:
-    """Links (a, b) that join all linked members of each bucket (bucket, node, label, total) across labels.
+def compared_in_full(members: DataFrame, texts: DataFrame, percent: int, size: int, tile: int = 512, task_rows: int = 1000) -> DataFrame:
+    """Links (a, b) that join all linked members of each unit (unit, node, label, total) across labels.
 
-    A bucket is dealt out as pairs of tiles of about `tile` members. In each, only pairs that no link found before has
-    joined are emitted, so a tile gives fewer links than members.
+    A unit is dealt out as pairs of tiles of about `tile` members, small units several to a task. In each, only pairs that no
+    link found before has joined are emitted, so a tile gives fewer links than members.
     """
+    bins = max(1, members.count() // task_rows)
     tiles = members.withColumn("tiles", F.greatest(F.ceil(F.col("total") / tile), F.lit(1)).cast("int"))
-    tiles = tiles.withColumn("mine", F.pmod(F.xxhash64("node", "bucket"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    tiles = tiles.select("bucket", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "node", "label")
+    tiles = tiles.withColumn("mine", F.pmod(F.xxhash64("node", "unit"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    tiles = tiles.select("unit", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "node", "label", F.pmod(F.xxhash64("unit"), F.lit(bins)).alias("bin"), "tiles")
+    tiles = tiles.withColumn("task", F.when(F.col("tiles") == 1, F.struct(F.lit(-1).cast("long").alias("u"), F.col("bin").cast("int").alias("x"), F.lit(0).alias("y"))).otherwise(F.struct(F.col("unit").alias("u"), F.col("lo").alias("x"), F.col("hi").alias("y"))))
 
-    def test(group: pa.Table) -> pa.Table:
-        grams = Shingles(size)
-        sets = [grams(t) for t in group.column("t").cast(pa.binary()).to_pylist()]
-        nodes, labels = group.column("node").to_pylist(), group.column("label").to_pylist()
+    def links(sets: list[np.ndarray], nodes: list[int], labels: list[int]) -> list[tuple[int, int]]:
         n = np.array([len(x) for x in sets])
-        values, at = np.unique(np.concatenate(sets), return_inverse=True)
-        bits = np.zeros((len(sets), -(-len(values) // 64) * 8), np.uint8)
-        row = np.repeat(np.arange(len(sets)), n)
-        np.bitwise_or.at(bits, (row, at >> 3), np.left_shift(1, at & 7).astype(np.uint8))
-        words = bits.view(np.uint64)
+        width = 1 << max(8, int(4 * n.max()).bit_length())
+        # In how many of `width` classes two sets have an odd number of n-grams that they don't share: at most the number of those.
+        odd = np.stack([np.packbits((np.bincount((x & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1).astype(bool)) for x in sets]).view(np.uint64)
         root = {x: x for x in labels}
 
         def find(x: int) -> int:
@@ -310,18 +309,40 @@ def compared_in_full(members: DataFrame, texts: DataFrame, percent: int, size: i
 
         out = []
         for i in range(len(sets) - 1):
-            both = np.bitwise_count(words[i] & words[i + 1 :]).sum(1, dtype=np.int64)
-            for j in i + 1 + np.flatnonzero(100 * both >= percent * (n[i] + n[i + 1 :] - both)):
+            apart = np.bitwise_count(odd[i] ^ odd[i + 1 :]).sum(1, dtype=np.int64)
+            for j in i + 1 + np.flatnonzero((100 + percent) * apart <= (100 - percent) * (n[i] + n[i + 1 :])):
                 x, y = find(labels[i]), find(labels[j])
-                if x != y:
+                if x != y and linked(sets[i], sets[j], percent):
                     root[x] = y
                     out.append((nodes[i], nodes[j]))
+        return out
+
+    def test(group: pa.Table) -> pa.Table:
+        grams = Shingles(size)
+        by: dict[int, list[int]] = {}
+        for i, u in enumerate(group.column("unit").to_pylist()):
+            by.setdefault(u, []).append(i)
+        texts, nodes, labels = group.column("t").cast(pa.binary()), group.column("node").to_pylist(), group.column("label").to_pylist()
+        out = []
+        for at in by.values():
+            out += links([grams(texts[i].as_py()) for i in at], [nodes[i] for i in at], [labels[i] for i in at])
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
-    return tiles.join(texts, "node").groupBy("bucket", "lo", "hi").applyInArrow(test, "a long, b long")
+    return tiles.join(texts, "node").groupBy("task").applyInArrow(test, "a long, b long")
+
+
+def units(left: DataFrame, tile: int = 512) -> DataFrame:
+    """Open buckets as units of full comparison. Buckets that overlap make a family; a family is one unit where that hands out
+    fewer texts than its buckets would, which is told from the numbers of its members and entries."""
+    tied = left.select(F.col("node").alias("a"), F.col("head.node").alias("b"))
+    family = left.join(components(tied).withColumnRenamed("label", "family"), "node")
+    size_ = family.groupBy("family").agg(F.count_distinct("node").alias("n"), F.count("*").alias("entries"))
+    chosen = family.join(size_.where(F.col("n") * F.ceil(F.col("n") / tile) <= F.col("entries")).select("family", "n"), "family", "left")
+    one = chosen.where("n IS NOT NULL").select(F.col("family").alias("unit"), "node", "label", F.col("n").alias("total")).distinct()
+    return materialise(one.union(chosen.where("n IS NULL").select("bucket", "node", "label", "total")), "ngram-units")
 
 
-def groups(docs: DataFrame, percent: int = 90, size: int = 3, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2, few: int = 8, part_chars: int = 32_000_000) -> DataFrame:
+def groups(docs: DataFrame, percent: int = 90, size: int = 3, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2, part_chars: int = 32_000_000) -> DataFrame:
     """One row per input row: row_key, the id, n_shingles, component_id (the smallest id reachable by links).
 
     Words are split at ASCII white space after lower-casing A-Z. Two texts link when their sets of distinct word n-grams
@@ -354,10 +375,7 @@ def groups(docs: DataFrame, percent: int = 90, size: int = 3, id_col: str = "doc
             pairs = met.groupBy("node").agg(F.max(F.struct("weight", "head")).alias("best")).select(F.col("node").alias("a"), F.col("best.head").alias("b"))
             new = compared(pairs, texts, percent, size)
         else:
-            mine, other = (left.where(F.col("total") <= few).select("bucket", F.col("node").alias(n), F.col("label").alias(f"l{n}")) for n in "ab")
-            pairs = mine.join(other, "bucket").where("a < b AND la <> lb").select("a", "b").distinct()
-            rest = left.where(F.col("total") > few).select("bucket", "node", "label", "total")
-            new = compared(pairs, texts, percent, size).union(compared_in_full(rest, texts, percent, size))
+            new = compared_in_full(units(left), texts, percent, size)
         path = scratch(spark, "ngram-links")
         new.write.parquet(path)
         links = links.union(spark.read.schema("a long, b long").parquet(path))
