@@ -1,95 +1,41 @@
-"""Helpers shared by the training-data operators: table access, the shared scratch folder, row keys."""
+"""Helpers shared by the training-data operators."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.shared import clean_up, materialise, scratch, shared_dir, ship
+
+__all__ = ["SPACES", "clean_up", "fresh", "keep_rows", "load", "materialise", "scratch", "shared_dir", "ship", "small_batches", "text_of"]
+
 #: White space as the operators define it: the ASCII space and the controls from tab to carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
-WORD = r"[^\x20\x09-\x0D]+"
-
-_scratch: list[tuple[SparkSession, str]] = []
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir; a local master without one gets a temporary folder."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        have = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if have.isDefined():
-            return have.get()
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        at = tempfile.mkdtemp(prefix="tidemark-")
-        spark.sparkContext.setCheckpointDir(at)
-        return spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return at
-
-
-def scratch(spark: SparkSession, tag: str) -> str:
-    """A new path in the shared folder; it is removed when the driver's process ends."""
-    if not _scratch:
-        atexit.register(clean_up)
-    path = f"{shared_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
-    _scratch.append((spark, path))
-    return path
-
-
-def clean_up() -> None:
-    """Remove every scratch table of this process; results that still read them must be written before."""
-    while _scratch:
-        spark, path = _scratch.pop()
-        try:
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-        except Exception:  # noqa: BLE001  the session has ended already
-            return
-
-
-def materialise(df: DataFrame, tag: str) -> DataFrame:
-    """Write df to the shared folder and read it again: cuts the lineage, survives lost executors, is read as often as needed."""
-    spark = df.sparkSession
-    path = scratch(spark, tag)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def text_of(column: str | Column) -> Column:
     """The text, null as the empty one."""
     c = F.col(column) if isinstance(column, str) else column
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once a context."""
-    import io
-    import os
-    import zipfile
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
 
-    sc = spark.sparkContext
-    if getattr(sc, "_tidemark_shipped", False):
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    data = io.BytesIO()
-    with zipfile.ZipFile(data, "w") as z:
-        for d, _, names in os.walk(top):
-            for name in names:
-                if name.endswith(".py"):
-                    z.write(os.path.join(d, name), os.path.relpath(os.path.join(d, name), os.path.dirname(top)))
-    path = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark.zip")
-    with open(path, "wb") as f:
-        f.write(data.getvalue())
-    sc.addPyFile(path)
-    sc._tidemark_shipped = True
+def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """The rows of docs whose row_key is kept in decided, which was made from docs as it is: all columns, in their order."""
+    key = fresh(docs, "row_key")
+    stay = decided.where("kept").select(F.col("row_key").alias(key))
+    return docs.withColumn(key, F.monotonically_increasing_id()).join(stay, key, "left_semi").select(*docs.columns)
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

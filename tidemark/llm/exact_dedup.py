@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import SPACES, materialise, text_of
+from tidemark.llm.common import SPACES, keep_rows, materialise, text_of
 
 
 def normalised(text: str | Column) -> Column:
@@ -60,5 +60,4 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that dedup() keeps, all columns."""
-    stay = dedup(docs, id_col, text_col).where("kept").select(F.col("row_key").alias("_row_key"))
-    return docs.withColumn("_row_key", F.monotonically_increasing_id()).join(stay, "_row_key", "left_semi").drop("_row_key")
+    return keep_rows(docs, dedup(docs, id_col, text_col))

@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, scratch, small_batches
-from tidemark.llm.components import components
+from tidemark.llm.common import keep_rows, materialise, scratch, small_batches
+from tidemark.operators.graph import components
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
 
@@ -393,5 +393,4 @@ def groups(docs: DataFrame, percent: int = 90, size: int = 3, id_col: str = "doc
 
 def keep_one(docs: DataFrame, percent: int = 90, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay when each group keeps its smallest id, all columns."""
-    stay = groups(docs, percent, size, id_col, text_col).where("kept").select(F.col("row_key").alias("_row_key"))
-    return docs.withColumn("_row_key", F.monotonically_increasing_id()).join(stay, "_row_key", "left_semi").drop("_row_key")
+    return keep_rows(docs, groups(docs, percent, size, id_col, text_col))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, small_batches
+from tidemark.llm.common import keep_rows, materialise, small_batches
 
 SYMBOLS = b"#*$%&|<>"
 
@@ -107,5 +107,4 @@ def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of docs that verdicts() keeps, all columns."""
-    stay = verdicts(docs).where("kept").select(F.col("row_key").alias("_row_key"))
-    return docs.withColumn("_row_key", F.monotonically_increasing_id()).join(stay, "_row_key", "left_semi").drop("_row_key")
+    return keep_rows(docs, verdicts(docs))

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, scratch, text_of
+from tidemark.llm.common import fresh, materialise, scratch, text_of
 
 
 @dataclass(frozen=True)
@@ -99,35 +99,37 @@ def ledger(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def findings(versions: DataFrame, ledger_path: str | None = None, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
-    """Every row of versions with its blob and `found`, spans in code points by start, then rule.
+    """Every row of versions with its blob and what was found (columns blob and found, named otherwise if versions has those):
+    spans in code points by start, then rule.
 
     A null text is the empty one; it and texts without secrets get an empty array. Repeated rows and rows that share a text
     get the same spans. An empty table gives no rows. Without a path, the ledger is a new one.
     """
-    found = scan(versions, ledger_path or scratch(versions.sparkSession, "secret-ledger"), rules, text_col).select(F.col("blob").alias("_blob"), F.col("found").alias("_found"))
-    rows = versions.withColumn("_blob", F.sha2(text_of(text_col), 256))
-    return rows.join(found, "_blob", "left").withColumn("_found", F.coalesce("_found", F.expr(f"cast(array() as {FOUND})")))
+    blob, found = fresh(versions, "blob"), fresh(versions, "found")
+    hits = scan(versions, ledger_path or scratch(versions.sparkSession, "secret-ledger"), rules, text_col).select(F.col("blob").alias(blob), F.col("found").alias(found))
+    rows = versions.withColumn(blob, F.sha2(text_of(text_col), 256)).join(hits, blob, "left")
+    return rows.select(*versions.columns, blob, F.coalesce(found, F.expr(f"cast(array() as {FOUND})")).alias(found))
 
 
 def digest(versions: DataFrame, id_col: str = "doc_id", text_col: str = "text", ledger_path: str | None = None) -> DataFrame:
     """Per row: the id, n_assign, n_access, n_hex, base_sha256, spans."""
-    rows = findings(versions.select(id_col, text_col), ledger_path, text_col=text_col)
+    rows = findings(versions.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), ledger_path)
     told = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    count = lambda kind: F.size(F.filter("_found", lambda s: s["kind"] == kind)).cast("long")
+    count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
     return rows.select(
-        id_col,
+        F.col("id").alias(id_col),
         count("assign").alias("n_assign"),
         count("access").alias("n_access"),
         count("hex").alias("n_hex"),
-        F.sha2(told(F.filter("_found", lambda s: s["rank"] < 3)), 256).alias("base_sha256"),
-        told(F.col("_found")).alias("spans"),
+        F.sha2(told(F.filter("found", lambda s: s["rank"] < 3)), 256).alias("base_sha256"),
+        told(F.col("found")).alias("spans"),
     )
 
 
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", length_col: str | None = None, ledger_path: str | None = None) -> DataFrame:
     """docs with every found span replaced, and length_col set to the new length in those; overlapping spans are replaced
     once. Texts without findings, null ones too, stay as they are."""
-    rows = findings(docs, ledger_path, text_col=text_col)
+    rows, found = findings(docs, ledger_path, text_col=text_col), fresh(docs, "found")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -136,9 +138,9 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", leng
         with_mark = F.when(s["start"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], gap, F.lit(mark)))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(inside, acc["out"]).otherwise(with_mark).alias("out"))
 
-    done = F.aggregate("_found", start, step)
-    text = F.when(F.size("_found") == 0, F.col(text_col)).otherwise(F.concat(done["out"], F.substring(F.col(text_col), done["at"] + 1, F.length(text_col))))
+    done = F.aggregate(found, start, step)
+    text = F.when(F.size(found) == 0, F.col(text_col)).otherwise(F.concat(done["out"], F.substring(F.col(text_col), done["at"] + 1, F.length(text_col))))
     rows = rows.withColumn(text_col, text)
     if length_col:
-        rows = rows.withColumn(length_col, F.when(F.size("_found") == 0, F.col(length_col)).otherwise(F.length(text_col)).cast(docs.schema[length_col].dataType))
+        rows = rows.withColumn(length_col, F.when(F.size(found) == 0, F.col(length_col)).otherwise(F.length(text_col)).cast(docs.schema[length_col].dataType))
     return rows.select(*docs.columns)
