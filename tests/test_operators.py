@@ -184,3 +184,15 @@ def test_windows_over_a_stream(spark, sf, tmp_path):
     assert spark.table("windows").agg(F.sum("n")).first()[0] == events.count()
     assert stream.sessions(events, "2 hours").agg(F.sum("n")).first()[0] == events.count()
     assert stream.sliding(events, "2 hours", "1 hour").agg(F.sum("n")).first()[0] == 2 * events.count()
+
+
+def test_extraction_contract(spark):
+    from tidemark.operators import extraction as E
+
+    assert E.parse("```json\n[{\"a\": 1}]\n```") == [{"a": 1}] and E.parse('[{"a": 1}, {"b"') == [{"a": 1}] and E.parse("no") is None
+    with pytest.raises(RuntimeError):
+        E.Disabled().generate_json("x")
+    docs = spark.createDataFrame([("s", "first part\nsecond part")], "section_id string, text string")
+    mock = E.Mock({"[recall]": '[{"fact_type": "f", "value": "v", "evidence_id": "s.P002"}, {"fact_type": "f", "value": "n/a", "evidence_id": "s.P001"}, {"fact_type": "g", "value": "v", "evidence_id": "s.P001"}, {"fact_type": "f", "value": "w", "evidence_id": "s.P009"}]'}, "nothing readable")
+    got = E.extract(docs, texts.paragraphs(F.col("text")), mock, ["f"], "q").collect()
+    assert [tuple(r) for r in got] == [("s", "f", "v", "s.P002", "second part")]
