@@ -21,5 +21,20 @@ SQL = {
         m AS (SELECT doc_id, ids, list_filter([{_RULES}], lambda x: x IS NOT NULL) AS hits FROM t)
         SELECT doc_id, ids AS sentence_ids, coalesce(array_to_string(list_sort(list_distinct(hits)), ','), '') AS licences, len(hits) AS n_rules FROM m
     """,
-    "op1_token_counts": None,
+    "op5_quality_rules": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce('h' || source, 'n') AS host FROM documents),
+        w AS (SELECT doc_id, t, host, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM d),
+        e AS (SELECT doc_id, i, ws[i] AS a, ws[i + 1] AS b, ws[i + 2] AS c FROM w, unnest(range(1, len(ws) - 1)) r(i)),
+        f AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS k FROM e),
+        p AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM f WHERE k > 1) GROUP BY 1),
+        l AS (SELECT doc_id, host, t, line, list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM (SELECT doc_id, host, t, unnest(string_split(t, chr(10))) AS line FROM d)),
+        k AS (SELECT doc_id, host, t, line, translate(array_to_string(ws, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k, len(ws) AS n FROM l WHERE len(ws) > 0),
+        u AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM k GROUP BY 1),
+        x AS (SELECT host, count(DISTINCT t) AS texts FROM d GROUP BY 1),
+        m AS (SELECT host, k FROM k JOIN x USING (host) GROUP BY host, k, texts HAVING count(DISTINCT t) > 100 AND count(DISTINCT t) > 0.1 * texts),
+        o AS (SELECT doc_id, sum(n)::BIGINT AS n FROM k JOIN m USING (host, k) GROUP BY 1),
+        r AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda s: length(s))), 0)::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(u.n, 0) AS n_dup_lines, coalesce(p.n, 0) AS n_repeat_words, coalesce(o.n, 0) AS lost_words
+            FROM w LEFT JOIN u USING (doc_id) LEFT JOIN p USING (doc_id) LEFT JOIN o USING (doc_id))
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost_words <= 0.5 * n_words AS kept FROM r
+    """,
 }
