@@ -264,8 +264,11 @@ def test_linked_sets_share_a_key(percent):
             a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
             cut = int(rng.integers(0, n * (100 - percent) // 100 + 2))
             b = np.unique(np.concatenate([a[cut:], rng.integers(0, 1 << 63, int(rng.integers(0, cut + 2)), dtype=np.uint64)]))
-            if ngram_join.linked(a, b, percent):
-                assert np.intersect1d(scheme.keys(a), scheme.keys(b)).size, (n, len(b))
+            often = np.unique(np.concatenate([rng.choice(a, max(1, n // 2)), rng.choice(b, max(1, len(b) // 3)) if len(b) else b]))
+            for frequent in (often, often[:0]):
+                if ngram_join.linked(a, b, percent):
+                    place = rng.permutation(len(frequent))
+                    assert np.intersect1d(scheme.keys(a, frequent, place), scheme.keys(b, frequent, place)).size, (n, len(b))
 
 
 def secrets_of(t):

@@ -1,11 +1,11 @@
 """Jaccard join of documents' word n-gram sets: a size-aware heavy-light join, and the groups that its links make.
 
 Sets up to a boundary are light: each enumerates its subsets of every size that an intersection may have, and two light
-sets that link have such a subset in common. Larger sets are heavy: they are entered into inverted lists, which are then
-scanned. A list isn't kept for a single n-gram, since those of a widely shared passage would grow with the square of its
-use, but for a cell: all n-grams of a set in one of m hash classes, where m exceeds the most n-grams by which two linked
-sets of that size class can differ, so linked sets agree in a cell. The boundary is the size at which enumerating a set
-begins to cost more than its entries in lists.
+sets that link have such a subset in common. Larger sets are heavy: they are entered into the inverted lists of their first
+n-grams in an order of all n-grams, so many that two sets that link have one of those in common, and the lists are scanned.
+In that order frequent n-grams come last, so a passage that many documents share makes no long lists. Any order gives all
+links; how frequent n-grams are only decides the cost. The boundary is the size at which enumerating a set begins to cost
+more than its entries in lists.
 
 Lists name candidates only. They are resolved in rounds: each set is compared with the list head that it meets most often,
 links are joined to groups, and lists whose members are all in one group are done. Lists that stay open are compared
@@ -14,10 +14,9 @@ in full, as sets, within bounded tiles. Every link follows from the texts themse
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import combinations
-from math import comb, exp, factorial
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -73,20 +72,12 @@ class Shingles:
         return np.unique(key)
 
 
-def small(mean: float, large: int) -> float:
-    """The share of cells with under `large` n-grams, of `mean` on average."""
-    return exp(-mean) * sum(mean**i / factorial(i) for i in range(large))
-
-
 class Scheme:
-    """How a set of n n-grams is entered, for links at a Jaccard similarity of percent / 100 or more."""
-
-    def __init__(self, percent: int = 90, list_cost: float = 4.0) -> None:
-        self.percent, self.known = percent, {}
-        self.tops, low = [], 1
-        while low < 1 << 40:
-            self.tops.append(max(low, low * 100 // percent))
-            low = self.tops[-1] + 1
+    """How a set of n n-grams is entered, for links at a Jaccard similarity of percent / 100 or more. list_cost is the cost of
+    an entry in a list, which is scanned, over that of a subset, which hardly any other set shares by chance."""
+
+    def __init__(self, percent: int = 90, list_cost: float = 10.0) -> None:
+        self.percent = percent
         self.boundary = next(n for n in range(1, 1 << 20) if self.enumerated(n + 1) > list_cost * self.entered(n + 1))
 
     def least(self, n: int) -> int:
@@ -96,52 +87,69 @@ class Scheme:
     def enumerated(self, n: int) -> int:
         return sum(comb(n, c) for c in range(self.least(n), n + 1))
 
-    def differ(self, k: int) -> int:
-        """The most n-grams by which two linked sets of size classes k - 1 and k can differ."""
-        return (100 - self.percent) * 2 * self.tops[k] // (100 + self.percent)
-
-    def layout(self, k: int) -> tuple[int, int]:
-        """Hash classes for those sets, and how many n-grams make a cell large. A set with fewer small cells than there are
-        classes beyond differ() needn't enter those, which say little: among the cells in which it agrees with a linked
-        set, one is large. There are classes enough for half as many again small cells as the least set has on average."""
-        if k not in self.known:
-            low, d = self.tops[k - 2] + 1 if k > 1 else 1, self.differ(k)
-            fits = ((d + 1 + s, large) for large in (3, 2, 1) for s in range(1, max(3, d // 4)) if 1.5 * (d + 1 + s) * small(low / (d + 1 + s), large) <= s)
-            self.known[k] = next(fits, (d + 1, 1))
-        return self.known[k]
-
-    def cells(self, k: int) -> int:
-        return self.layout(k)[0]
-
     def entered(self, n: int) -> int:
-        k = bisect_left(self.tops, n)
-        return self.cells(k) + self.cells(k + 1)
+        """Of so many first n-grams in any order, linked sets have one in common."""
+        return n - self.least(n) + 1
 
-    def keys(self, grams: np.ndarray) -> np.ndarray:
-        """The keys of the subsets and lists in which a set is found."""
+    def keys(self, grams: np.ndarray, frequent: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The keys of the subsets and lists in which a set is found; frequent n-grams (sorted) have places in the order
+        after all others."""
         n, out = len(grams), []
         if not n:
             return np.zeros(0, np.uint64)
-        m = mixed(grams)
         if n <= self.boundary:
+            m = mixed(grams)
             whole = m.sum(dtype=np.uint64)
             for c in range(self.least(n), n + 1):
                 gone = np.array([m[list(x)].sum(dtype=np.uint64) for x in combinations(range(n), n - c)], np.uint64)
                 out.append(salted(whole - gone, 1 << 32, c))
         if n >= self.least(self.boundary + 1):
-            k = bisect_left(self.tops, n)
-            for group in (k, k + 1):
-                cells, large = self.layout(group)
-                at = (grams % np.uint64(cells)).astype(np.int64)
-                count = np.bincount(at, minlength=cells)
-                order = np.argsort(at, kind="stable")
-                run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(m[order], dtype=np.uint64)])
-                ends = np.cumsum(count)
-                keys = salted(run[ends] - run[ends - count], group, np.arange(cells))
-                out.append(keys[count >= large] if (count < large).sum() < cells - self.differ(group) else keys)
+            first = grams
+            if len(frequent):
+                at = np.minimum(np.searchsorted(frequent, grams), len(frequent) - 1)
+                often = frequent[at] == grams
+                if often.any():
+                    first = np.concatenate([grams[~often], grams[often][np.argsort(place[at[often]], kind="stable")]])
+            out.append(salted(first[: self.entered(n)], 1))
         return np.concatenate(out)
 
 
+def frequent_grams(docs: DataFrame, size: int, text_col: str, most: int = 1 << 17, least: int = 2, flush: int = 4_000_000) -> tuple[np.ndarray, np.ndarray]:
+    """The `most` n-grams that stand in the most distinct sets, sorted, and their places by that number: a bounded list.
+
+    All texts are counted, in groups of `flush` n-grams; a group passes on those that it has `least` times.
+    """
+    spark = docs.sparkSession
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, held, seen, rows = Shingles(size), [], set(), 0
+
+        def counted() -> pa.RecordBatch:
+            g, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([signed(g[n >= least]), pa.array(n[n >= least], pa.int64())], ["gram", "n"])
+
+        for b in batches:
+            for t in b.column(0).cast(pa.binary()).to_pylist():
+                g = grams(t or b"")
+                key = hash(g.tobytes())
+                if key not in seen:
+                    seen.add(key)
+                    held.append(g)
+                    rows += len(g)
+                    if rows >= flush:
+                        yield counted()
+                        held, seen, rows = [], set(), 0
+        if held:
+            yield counted()
+
+    small_batches(spark)
+    counts = docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(run, "gram long, n long")
+    top = counts.groupBy("gram").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "gram").limit(most).toPandas()
+    grams = top["gram"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(grams)
+    return grams[order], len(grams) - 1 - order
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     if min(len(a), len(b)) * 100 < percent * max(len(a), len(b)):
         return False
@@ -174,8 +182,8 @@ def entries(docs: DataFrame, scheme: Scheme, size: int, ranges: int, id_col: str
     so equal sets are one node."""
     from xxhash import xxh3_64_intdigest
 
-    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
+    often = docs.sparkSession.sparkContext.broadcast(frequent_grams(docs, size, text_col))  # a list of bounded length
     names = ["row_key", "id", "n", "node", "part", "keys", "nodes"]
     width = np.uint64((1 << 64) // ranges + 1)
 
@@ -207,7 +215,7 @@ def entries(docs: DataFrame, scheme: Scheme, size: int, ranges: int, id_col: str
                 nodes[i] = node = xxh3_64_intdigest(g.tobytes())
                 if len(g) and node not in seen:  # a set's copies in this flush are entered once
                     seen.add(node)
-                    held.append((scheme.keys(g), node))
+                    held.append((scheme.keys(g, *often.value), node))
                     rows += len(held[-1][0])
                     if rows >= flush:
                         yield blocks()
@@ -265,6 +273,48 @@ def lists(found: DataFrame) -> DataFrame:
     return materialise(members.groupBy("bucket", "node").agg(F.sum("weight").alias("weight")), "ngram-lists")
 
 
+def sketch(grams: np.ndarray) -> bytes:
+    """In which of four to eight classes an n-gram a set has an odd number of n-grams. Two sketches differ in no more classes than
+    the number of n-grams that only one of the sets has, so they can rule a link out, never in."""
+    width = 1 << max(8, int(4 * len(grams)).bit_length())
+    return np.packbits((np.bincount((grams & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1).astype(bool), bitorder="little").tobytes()
+
+
+def folded(x: bytes, words: int) -> np.ndarray:
+    return np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, words), axis=0)
+
+
+def apart(x: bytes, y: bytes) -> int:
+    words = min(len(x), len(y)) // 8
+    return int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum())
+
+
+def sketched(texts: DataFrame, size: int) -> DataFrame:
+    """(node, n, s): the sets' sizes and sketches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams = Shingles(size)
+        for b in batches:
+            sets = [grams(t) for t in b.column("t").cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([len(g) for g in sets], pa.int64()), pa.array([sketch(g) for g in sets], pa.binary())], ["node", "n", "s"])
+
+    return materialise(texts.select("node", "t").mapInArrow(run, "node long, n long, s binary"), "ngram-sketches")
+
+
+def possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their sketches don't rule out."""
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = zip(*(b.column(c).to_pylist() for c in ("na", "nb", "sa", "sb")), strict=True)
+            hit = [(100 + percent) * apart(x, y) <= (100 - percent) * (n + m) for n, m, x, y in rows]
+            yield b.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
+
+    side = lambda k: sketches.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("s").alias(f"s{k}"))
+    near = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(near).mapInArrow(test, "a long, b long")
+
+
 def compared(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
     """The pairs (a, b) of nodes whose texts link."""
 
@@ -283,23 +333,51 @@ def compared(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> Dat
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(test, "a long, b long")
 
 
-def compared_in_full(members: DataFrame, texts: DataFrame, percent: int, size: int, tile: int = 512, task_rows: int = 1000) -> DataFrame:
+def compared_in_full(members: DataFrame, texts: DataFrame, sketches: DataFrame, percent: int, size: int, tile: int = 512, task_rows: int = 1000) -> DataFrame:
     """Links (a, b) that join all linked members of each unit (unit, node, label, total) across labels.
 
     A unit is dealt out as pairs of tiles of about `tile` members, small units several to a task. In each, only pairs that no
-    link found before has joined are emitted, so a tile gives fewer links than members.
+    link found before has joined are emitted, so a tile gives fewer links than members. Sketches tell first which members have
+    any possible partner; only their texts are moved.
     """
     bins = max(1, members.count() // task_rows)
     tiles = members.withColumn("tiles", F.greatest(F.ceil(F.col("total") / tile), F.lit(1)).cast("int"))
     tiles = tiles.withColumn("mine", F.pmod(F.xxhash64("node", "unit"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     tiles = tiles.select("unit", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "node", "label", F.pmod(F.xxhash64("unit"), F.lit(bins)).alias("bin"), "tiles")
-    tiles = tiles.withColumn("task", F.when(F.col("tiles") == 1, F.struct(F.lit(-1).cast("long").alias("u"), F.col("bin").cast("int").alias("x"), F.lit(0).alias("y"))).otherwise(F.struct(F.col("unit").alias("u"), F.col("lo").alias("x"), F.col("hi").alias("y"))))
+    one = F.col("tiles") == 1
+    task = [F.when(one, -1).otherwise(F.col("unit")).alias("u"), F.when(one, F.col("bin")).otherwise(F.col("lo")).cast("int").alias("x"), F.when(one, 0).otherwise(F.col("hi")).alias("y")]
+    tiles = tiles.select(*task, "unit", "node", "label")
+
+    def candidates(sizes: list[int], marks: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+        n = np.array(sizes)
+        order = np.argsort(n, kind="stable")  # so that a set meets only larger ones, in a range of sizes
+        m = n[order]
+        for i in range(len(m) - 1):
+            end = int(np.searchsorted(m, m[i] * 100 // percent, "right"))
+            if end > i + 1:
+                words = len(marks[order[i]]) // 8
+                mine = folded(marks[order[i]], words)
+                rest = np.stack([folded(marks[j], words) for j in order[i + 1 : end]]) if len(marks[order[end - 1]]) // 8 != words else np.frombuffer(b"".join(marks[j] for j in order[i + 1 : end]), np.uint64).reshape(-1, words)
+                far = np.bitwise_count(rest ^ mine).sum(1, dtype=np.int64)
+                yield int(order[i]), order[i + 1 : end][(100 + percent) * far <= (100 - percent) * (m[i] + m[i + 1 : end])]
+
+    def members_of(group: pa.Table) -> Iterator[list[int]]:
+        by: dict[int, list[int]] = {}
+        for i, u in enumerate(group.column("unit").to_pylist()):
+            by.setdefault(u, []).append(i)
+        yield from by.values()
+
+    def hopeful(group: pa.Table) -> pa.Table:
+        n, marks, labels = (group.column(c).to_pylist() for c in ("n", "s", "label"))
+        keep = np.zeros(len(n), bool)
+        for at in members_of(group):
+            for i, found in candidates([n[k] for k in at], [marks[k] for k in at]):
+                for j in found:
+                    if labels[at[i]] != labels[at[j]]:
+                        keep[at[i]] = keep[at[j]] = True
+        return group.select(["u", "x", "y", "unit", "node", "label"]).filter(pa.array(keep))
 
     def links(sets: list[np.ndarray], nodes: list[int], labels: list[int]) -> list[tuple[int, int]]:
-        n = np.array([len(x) for x in sets])
-        width = 1 << max(8, int(4 * n.max()).bit_length())
-        # In how many of `width` classes two sets have an odd number of n-grams that they don't share: at most the number of those.
-        odd = np.stack([np.packbits((np.bincount((x & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1).astype(bool)) for x in sets]).view(np.uint64)
         root = {x: x for x in labels}
 
         def find(x: int) -> int:
@@ -308,9 +386,8 @@ def compared_in_full(members: DataFrame, texts: DataFrame, percent: int, size: i
             return x
 
         out = []
-        for i in range(len(sets) - 1):
-            apart = np.bitwise_count(odd[i] ^ odd[i + 1 :]).sum(1, dtype=np.int64)
-            for j in i + 1 + np.flatnonzero((100 + percent) * apart <= (100 - percent) * (n[i] + n[i + 1 :])):
+        for i, found in candidates([len(x) for x in sets], [sketch(x) for x in sets]):
+            for j in found:
                 x, y = find(labels[i]), find(labels[j])
                 if x != y and linked(sets[i], sets[j], percent):
                     root[x] = y
@@ -319,23 +396,21 @@ def compared_in_full(members: DataFrame, texts: DataFrame, percent: int, size: i
 
     def test(group: pa.Table) -> pa.Table:
         grams = Shingles(size)
-        by: dict[int, list[int]] = {}
-        for i, u in enumerate(group.column("unit").to_pylist()):
-            by.setdefault(u, []).append(i)
         texts, nodes, labels = group.column("t").cast(pa.binary()), group.column("node").to_pylist(), group.column("label").to_pylist()
         out = []
-        for at in by.values():
+        for at in members_of(group):
             out += links([grams(texts[i].as_py()) for i in at], [nodes[i] for i in at], [labels[i] for i in at])
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
-    return tiles.join(texts, "node").groupBy("task").applyInArrow(test, "a long, b long")
+    told = tiles.join(sketches, "node").groupBy("u", "x", "y").applyInArrow(hopeful, "u long, x int, y int, unit long, node long, label long")
+    return told.join(texts, "node").groupBy("u", "x", "y").applyInArrow(test, "a long, b long")
 
 
 def units(left: DataFrame, tile: int = 512) -> DataFrame:
     """Open buckets as units of full comparison. Buckets that overlap make a family; a family is one unit where that hands out
     fewer texts than its buckets would, which is told from the numbers of its members and entries."""
-    tied = left.select(F.col("node").alias("a"), F.col("head.node").alias("b"))
-    family = left.join(components(tied).withColumnRenamed("label", "family"), "node")
+    tied = left.select(F.col("label").alias("a"), F.col("head.label").alias("b"))  # groups, of which there are fewer than members
+    family = left.join(components(tied).toDF("label", "family"), "label")
     size_ = family.groupBy("family").agg(F.count_distinct("node").alias("n"), F.count("*").alias("entries"))
     chosen = family.join(size_.where(F.col("n") * F.ceil(F.col("n") / tile) <= F.col("entries")).select("family", "n"), "family", "left")
     one = chosen.where("n IS NOT NULL").select(F.col("family").alias("unit"), "node", "label", F.col("n").alias("total")).distinct()
@@ -362,6 +437,7 @@ def groups(docs: DataFrame, percent: int = 90, size: int = 3, id_col: str = "doc
     first = members.select("node").distinct().join(sets.where("n > 0"), "node").groupBy("node").agg(F.min("row_key").alias("row_key"))
     whole = docs.select(F.monotonically_increasing_id().alias("row_key"), F.col(text_col).cast("string").alias("t"))
     texts = materialise(whole.join(first, "row_key").select("node", "t"), "ngram-texts")
+    sketches = sketched(texts, size)
 
     links = spark.createDataFrame([], "a long, b long")
     for step in range(rounds + 1):
@@ -373,9 +449,9 @@ def groups(docs: DataFrame, percent: int = 90, size: int = 3, id_col: str = "doc
         if step < rounds:
             met = left.where("label <> head.label").groupBy("node", F.col("head.node").alias("head")).agg(F.sum("weight").alias("weight"))
             pairs = met.groupBy("node").agg(F.max(F.struct("weight", "head")).alias("best")).select(F.col("node").alias("a"), F.col("best.head").alias("b"))
-            new = compared(pairs, texts, percent, size)
+            new = compared(possible(pairs, sketches, percent), texts, percent, size)
         else:
-            new = compared_in_full(units(left), texts, percent, size)
+            new = compared_in_full(units(left), texts, sketches, percent, size)
         path = scratch(spark, "ngram-links")
         new.write.parquet(path)
         links = links.union(spark.read.schema("a long, b long").parquet(path))
