@@ -5,6 +5,7 @@ import collections
 import hashlib
 import math
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -337,6 +338,25 @@ def test_license_scan(spark, docs, empty):
     assert license_scan.scan(empty).count() == 0
 
 
+def test_every_license_rule_fires_verbatim_and_wrapped(spark):
+    s, rules = license_scan.SENTENCES, license_scan.RULES
+    rows = []
+    for k, r in enumerate(rules):
+        whole = "\n\n".join(s[i] for i in r.ids)
+        rows += [(k, "verbatim", f"A title\n{whole}\n\nThe end"), (k, "one line", " ".join(s[i] for i in r.ids))]
+        for width in (20, 33, 50, 60, 78):
+            lines = ["\n".join(textwrap.wrap(s[i], width)) for i in r.ids]
+            rows += [(k, f"{width}", "A title\n" + "\n\n".join(lines) + "\n\nThe end"), (k, f"# {width}", "\r\n#\r\n".join(lines).replace("\n", "\n#  "))]
+    got = license_scan.scan(spark.createDataFrame([(100 * i + r[0], r[2]) for i, r in enumerate(rows)], "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        rule = rules[r.doc_id % 100]
+        assert (tuple(r.sentence_ids), r.licences, r.n_rules) == (rule.ids, rule.licence, 1), rows[r.doc_id // 100]
+    broken = [(1, s[17].replace("terms of", "terms\n\nof")), (2, s[0].replace("under", "under. ")), (3, "Not " + s[0]), (4, s[0][:-1] + " or not."), (5, s[8].replace("software: ", "software "))]
+    out = {r.doc_id: r.licences for r in license_scan.scan(spark.createDataFrame([*broken, (6, f"{s[8]} {s[9]}"), (7, None)], "doc_id long, text string")).collect()}
+    assert out == {**dict.fromkeys([1, 2, 3, 4, 5, 7], ""), 6: "GPL-3.0-or-later"}
+
+
 def katz_of(rows):
     K = katz.K
     docs = [(d, t.encode().lower().split() + [b" "], zlib.crc32(b"" if d is None else str(d).encode()) % 10 == 0) for d, t in rows]

@@ -1,6 +1,6 @@
 """Licence recognition by sentence rules, in DataFrame functions.
 
-A text's sentences are normalised and mapped to identifiers of known licence sentences; the sequence of identifiers is then
+Known licence sentences are found in a text's normalised words and mapped to identifiers; the sequence of identifiers is then
 matched against rules, each an ordered sequence of identifiers. Sentences that aren't known may stand between.
 """
 
@@ -72,25 +72,41 @@ def lower_ascii(c: Column) -> Column:
     return F.translate(c, letters, letters.lower())
 
 
-def sentences(text: Column) -> Column:
-    """Normalised sentences in order: a line break, or white space after one of . ! ? :, ends a sentence."""
-    parts = F.split(F.regexp_replace(text, r"([.!?:])[\x20\x09-\x0D]+", "$1\n"), "\n", -1)
-    return F.transform(parts, lambda s: F.trim(F.regexp_replace(lower_ascii(s), "[^a-z0-9]+", " ")))
+def marked(text: Column) -> Column:
+    """The normalised words of a text: one space within a line, a line break between lines, E between sentences.
+
+    A sentence ends at white space after one of . ! ? :, and a line break may stand in a sentence that is wrapped. E is no
+    word's letter, since letters are lower case by then. Marks stand at both ends, and an empty line leaves two line breaks.
+    """
+    ended = F.regexp_replace(lower_ascii(text), r"[.!?:][\x20\x09-\x0D]+", "E")
+    words = F.regexp_replace(F.regexp_replace(ended, "[^a-z0-9E\n]+", " "), " ?([E\n]) ?", "$1")
+    return F.concat(F.lit("\n"), F.trim(words), F.lit("\n"))
+
+
+def pattern_of(sentence: str) -> str:
+    """Matches the sentence in a marked text: its words, with a line break wherever it's wrapped, and E where it holds one."""
+    import re
+
+    parts = (normalise(p) for p in re.split(r"[.!?:][\x20\x09-\x0D]+", sentence))
+    return "[ \nE]".join(p.replace(" ", "[ \n]") for p in parts if p)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: tuple[str, ...] = SENTENCES, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row per input row: the id, sentence_ids (array of known identifiers in order), licences (sorted, comma-joined), n_rules.
 
-    A rule matches where its identifiers follow one another among the text's known ones. A null or empty text matches
-    nothing; repeated rows give repeated rows; an empty table gives no rows. Known sentences of one normal form are one.
+    A known sentence is found where it starts and ends at a sentence's or a line's end, on one line or wrapped over several
+    without an empty one; of those that start together the longest counts. A rule matches where its identifiers follow one
+    another among the text's known ones. A null or empty text matches nothing; repeated rows give repeated rows; an empty
+    table gives no rows. Known sentences of one normal form are one.
     """
     table: dict[str, int] = {}
     for i, s in enumerate(known):
         table.setdefault(normalise(s), i)
     same = [table[normalise(s)] for s in known]
     lookup = F.create_map(*(F.lit(x) for kv in table.items() for x in kv))
-    candidates = F.filter(sentences(text_of(text_col)), lambda s: s.isin(*table))
-    rows = docs.select(F.col(id_col), F.transform(candidates, lambda s: F.element_at(lookup, s)).alias("sentence_ids"))
+    patterns = sorted({pattern_of(s) for s in known if normalise(s)}, key=len, reverse=True)
+    found = F.regexp_extract_all(marked(text_of(text_col)), F.lit(f"(?<=[E\n])(?:{'|'.join(patterns) or '(?!)'})(?=[E\n])"), F.lit(0))
+    rows = docs.select(F.col(id_col), F.transform(found, lambda s: F.element_at(lookup, F.translate(s, "E\n", "  "))).alias("sentence_ids"))
     told = rows.withColumn("told", F.concat(F.lit(","), F.array_join("sentence_ids", ","), F.lit(",")))
     hits = [(r.licence, F.col("told").contains("," + ",".join(str(same[i]) for i in r.ids) + ",")) for r in rules]
     matched = F.filter(F.array(*(F.when(h, F.lit(name)) for name, h in hits)), lambda x: x.isNotNull())
