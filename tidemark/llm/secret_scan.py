@@ -29,12 +29,27 @@ class Rule:
         return f"{self.kind}@{self.version}"
 
 
+#: What may stand around the base64 of a key: white space, quotes, escapes, and the marks of comments,
+#: quotations and diffs; never the dashes that begin a next key.
+_GAP = r"""(?:[\x20\x09-\x0D"'+,;#*>|/]|-(?!----)|\\[nrt]?)*+"""
+_BASE64 = "[A-Za-z0-9+/]"
+#: From the BEGIN line to the next END line, with no other BEGIN or END between, whatever the text between looks like. Where
+#: that END is missing: headers such as DEK-Info, runs of 20 base64 characters or more, and one run after them if the last
+#: isn't padded; without such a run a line of nothing but base64. All loops are possessive, so long texts need no stack.
+PRIVATE_KEY = (
+    r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----"
+    r"(?:[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END [A-Z0-9 ]{0,40}PRIVATE KEY-----"
+    rf"""|(?:{_GAP}[A-Za-z]++-[A-Za-z]++:[\x20\x09]*+(?:(?!-----)[^\x20\x09-\x0D"'\\])*+)*+"""
+    rf"(?:(?:{_GAP}{_BASE64}{{20,}}+(?!=))++(?:{_GAP}{_BASE64}++={{0,2}}+)?+|{_GAP}{_BASE64}{{20,}}+={{1,2}}+"
+    rf"""|["'\x20\x09]*+(?:\r?\n|\\n){_GAP}{_BASE64}++={{0,2}}+(?=["'\x20\x09]*+(?:[\r\n]|$)))?+)"""
+)
+
 #: In the order by which spans that start together are listed; the first three are the base.
 RULES = (
     Rule("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 18),
     Rule("hex", r"[0-9a-f]{16,}", 0, 16),
-    Rule("private_key", r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----", 0, 1),
+    Rule("private_key", PRIVATE_KEY, 0, 1, 2),
     Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,255}", 0, 40),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,250}", 0, 15),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 20),
