@@ -13,8 +13,8 @@ from tidemark.llm.queries import WORDS
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go."""
-    return quality.keep_good(docs)
+    """Documents that the rules reject go; the others lose the lines that are common in their source."""
+    return quality.keep_good(docs, length_col="n_chars")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -206,6 +206,26 @@ def test_quality_line_frequency(spark):
     assert [k for k, v in got.items() if not v] == list(range(30)) or sorted(k for k, v in got.items() if not v) == list(range(30))
 
 
+def test_quality_cuts_common_lines(spark):
+    own = lambda i: " ".join(f"own{i}é{j}" for j in range(60))
+    rows = []
+    for i in range(300):  # production limits: a line in 150 of 300 texts is common, one in 100 isn't, nor is one of another host
+        head = ["\tHome |  About US  ", "", "home | about us"] if i % 2 else []
+        rows.append((i, "\n".join([*head, own(i), *["ÄRGER rare line"] * (i < 100), *head]), "en", "h", 7, [i]))
+    rows += [(1000, own(5000) + "\nhome | about us", "en", "other", None, [1]), (1001, "home | about us\n" * 3 + own(5001).replace(" ", "\r\n", 3), "en", "h", None, None), (1001, "home | about us\n" * 3 + own(5001).replace(" ", "\r\n", 3), "en", "h", None, None)]
+    rows += [(1002, "home | about us\n" * 30 + own(5002), "en", "h", 1, None), (1003, None, "en", "h", 1, None)]  # loses over half
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int, cut array<int>")
+    want = []
+    for d, t, lang, source, n, extra in rows[:-2]:
+        left = "\n".join(x for x in t.split("\n") if source != "h" or " ".join(x.lower().split()) != "home | about us")
+        want.append((d, left, lang, source, n if left == t else len(left), extra))
+    same([repr(tuple(r)) for r in quality.keep_good(docs, length_col="n_chars").collect()], map(repr, want))
+    assert sum(w[1] != r[1] for w, r in zip(want, rows, strict=False)) == 152
+    assert quality.keep_good(docs).schema == docs.schema
+    clean = docs.where("doc_id < 300 AND doc_id % 2 = 0")
+    same([r.text for r in quality.keep_good(clean).collect()], [r.text for r in clean.collect()])
+
+
 def test_repeated_words_with_many_kinds():
     rng = np.random.default_rng(2)
     codes = rng.integers(0, 12, 500).tolist()

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keep_rows, materialise, small_batches
+from tidemark.llm.common import fresh, materialise, small_batches
 
 SYMBOLS = b"#*$%&|<>"
 
@@ -83,28 +83,62 @@ def measures(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> Data
     return materialise(rows.mapInArrow(run, f"row_key long, id {docs.schema[id_col].dataType.simpleString()}, host string, {types}, text_hash long, lines array<long>, line_words array<long>"), "quality-measures")
 
 
-def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", least: int = 100, share: float = 0.1, depleted: float = 0.5, min_words: int = 50) -> DataFrame:
-    """One row per input row: row_key, the id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, lost_words, kept.
-
-    A normalised line is above the limit in a host if it stands in more distinct documents of the host (documents with the
-    same text count once) than both `least` and `share` of them. Such lines are removed, and a document that loses more than
-    `depleted` of its words is rejected, as is one with under min_words words or with over half its words in repeated
-    3-word windows. A null or empty text has no words and is rejected; a null host is a host of its own; repeated rows are
-    judged alike. An empty table gives no rows.
-    """
+def judge(docs: DataFrame, id_col: str, text_col: str, host_col: str, least: int, share: float, depleted: float, min_words: int) -> DataFrame:
+    """The columns of verdicts() and cut, the hashes of the row's common lines (null if it has none)."""
     rows = measures(docs, id_col, text_col, host_col)
     texts = rows.select("host", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("texts"))
     once = rows.select("host", "text_hash", F.explode("lines").alias("line")).distinct()
     counts = once.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > least)
     common = materialise(counts.join(texts, "host").where(F.col("n") > share * F.col("texts")).select("host", "line"), "quality-lines")
     each = rows.select("row_key", "host", F.explode(F.arrays_zip("lines", "line_words")).alias("l")).select("row_key", "host", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words"))
-    lost = each.join(common, ["host", "line"]).groupBy("row_key").agg(F.sum("words").alias("lost_words"))
+    lost = each.join(common, ["host", "line"]).groupBy("row_key").agg(F.sum("words").alias("lost_words"), F.collect_list("line").alias("cut"))
     out = rows.drop("lines", "line_words").join(lost, "row_key", "left").withColumn("lost_words", F.coalesce("lost_words", F.lit(0)))
     out = out.withColumn("base_failed", (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     kept = ~F.col("base_failed") & (F.col("lost_words") <= depleted * F.col("n_words"))
-    return out.select("row_key", F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lost_words", kept.alias("kept"))
+    return out.select("row_key", F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lost_words", kept.alias("kept"), "cut")
+
+
+def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", least: int = 100, share: float = 0.1, depleted: float = 0.5, min_words: int = 50) -> DataFrame:
+    """One row per input row: row_key, the id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, lost_words, kept.
 
+    A normalised line is above the limit in a host if it stands in more distinct documents of the host (documents with the
+    same text count once) than both `least` and `share` of them. A document that would lose more than `depleted` of its words
+    with such lines is rejected, as is one with under min_words words or with over half its words in repeated 3-word windows;
+    keep_good() removes the lines from the others. A null or empty text has no words and is rejected; a null host is a host
+    of its own; repeated rows are judged alike. An empty table gives no rows.
+    """
+    return judge(docs, id_col, text_col, host_col, least, share, depleted, min_words).drop("cut")
+
+
+def without(text: str, cut: set[int]) -> str:
+    """The text less the lines whose normalised form has a hash in cut."""
+    from xxhash import xxh3_64_intdigest
 
-def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of docs that verdicts() keeps, all columns."""
-    return keep_rows(docs, verdicts(docs))
+    left = []
+    for line in text.split("\n"):
+        words = line.encode().split()
+        h = xxh3_64_intdigest(b" ".join(words).lower()) if words else None
+        if h is None or h - ((h >> 63) << 64) not in cut:
+            left.append(line)
+    return "\n".join(left)
+
+
+def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", length_col: str | None = None, least: int = 100, share: float = 0.1, depleted: float = 0.5, min_words: int = 50) -> DataFrame:
+    """The rows of docs that verdicts() keeps, all columns, with every line above the limit removed from their texts.
+
+    length_col is set to the new length in the texts that lose a line; the others stay as they are. The measures are those of
+    the whole text: what is left isn't judged again.
+    """
+    key, cut = fresh(docs, "row_key"), fresh(docs, "cut")
+    stay = judge(docs, id_col, text_col, host_col, least, share, depleted, min_words).where("kept").select(F.col("row_key").alias(key), F.col("cut").alias(cut))
+    rows = docs.withColumn(key, F.monotonically_increasing_id()).join(stay, key)
+
+    @F.arrow_udf("string")
+    def shorten(texts: pa.Array, cuts: pa.Array) -> pa.Array:
+        return pa.array([None if c is None else without(t, set(c)) for t, c in zip(texts.to_pylist(), cuts.to_pylist(), strict=True)], pa.string())
+
+    loses = F.col(cut).isNotNull()
+    rows = rows.withColumn(text_col, F.when(loses, shorten(F.when(loses, F.col(text_col).cast("string")), F.col(cut))).otherwise(F.col(text_col)))
+    if length_col:
+        rows = rows.withColumn(length_col, F.when(loses, F.length(text_col)).otherwise(F.col(length_col)).cast(docs.schema[length_col].dataType))
+    return rows.select(*docs.columns)
