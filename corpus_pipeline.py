@@ -39,7 +39,7 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality rules", quality_rules), ("exact dedup", exact_copies), ("n-gram Jaccard join", near_copies), ("secret scans", secrets), ("packing", sequences)]
 
-#: SQL can't express the tokenizer of the last stage; tests hold every stage against a brute-force version.
+#: SQL can't express the tokenizer of the last stage; a test holds every stage and the run against brute force over planted rows.
 ORACLE_SQL = None
 
 
