@@ -226,6 +226,29 @@ def test_quality_cuts_common_lines(spark):
     same([r.text for r in quality.keep_good(clean).collect()], [r.text for r in clean.collect()])
 
 
+def test_quality_limits_where_lines_are_common(spark):
+    import duckdb
+
+    from tidemark.llm.sql import SQL
+
+    own = lambda i: " ".join(f"own{i}x{j}" for j in range(60))
+    rows = []
+    for host, texts, holders in (("clean", 150, 0), ("small", 100, 100), ("middle", 300, 101), ("limit", 300, 100), ("hot", 1200, 121), ("tenth", 1200, 120)):
+        for i in range(texts):
+            menu = "Menu of the site\n" * (40 if i % 2 else 1) if i < holders else ""
+            rows.append((len(rows), menu + own(len(rows)), "en", host, 1))
+    docs = spark.createDataFrame(rows, COLUMNS)
+    got = quality.verdicts(docs).drop("row_key")
+    lost = {r.source: r.n for r in got.where("lost_words > 0").join(docs.select("doc_id", "source"), "doc_id").groupBy("source").count().withColumnRenamed("count", "n").collect()}
+    assert lost == {"middle": 101, "hot": 121}
+    path = scratch(spark, "limits").removeprefix("file:")
+    docs.coalesce(1).write.parquet(path)
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{path}/*.parquet'")
+    columns = sorted(got.columns)
+    same([repr(tuple(r)) for r in got.select(*columns).collect()], map(repr, con.sql(SQL["op5_quality_rules"]).select(*columns).fetchall()))
+
+
 def test_repeated_words_with_many_kinds():
     rng = np.random.default_rng(2)
     codes = rng.integers(0, 12, 500).tolist()
