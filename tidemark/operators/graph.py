@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.shared import materialise
+from tidemark.shared import discard, materialise
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label): label is the smallest node reachable over links (a, b). Nodes without links don't appear.
 
     Labels spread to neighbours and then follow their own label's label, so paths shorten by more than half a round; each
-    round is written to the shared folder. Repeated links, links to oneself and null ends (ignored) are allowed.
+    round is written to the shared folder in place of the last. Repeated links, links to oneself and null ends (ignored) are allowed.
     """
     links = links.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select("a", "b")
     both = materialise(links.union(links.select("b", "a")).distinct().toDF("a", "b"), "links")
@@ -22,8 +22,10 @@ def components(links: DataFrame) -> DataFrame:
         near = labels.join(heard, "node").select("node", F.col("label").alias("old"), F.least("label", "heard").alias("label"))
         far = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
         step = materialise(near.join(far, "label").select("node", "old", F.least("label", "next").alias("label")), "labels")
+        discard(labels)
         labels = step.select("node", "label")
         if step.where("old <> label").isEmpty():
+            discard(both)
             return labels
 
 

@@ -7,10 +7,16 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_scratch: list[tuple[SparkSession, str]] = []
+#: Paths that are to be deleted, each with its session, oldest first.
+_scratch: dict[str, SparkSession] = {}
+
+#: Removes a query's shuffle files as soon as its result is written; a retried stage makes them anew.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,18 +34,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
-    """A new path in the shared folder; it is removed when the driver's process ends."""
+    """A new path in the shared folder; it is removed by discard(), at the end of its scope(), or when the driver's process ends."""
     if not _scratch:
         atexit.register(clean_up)
     path = f"{shared_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
-    _scratch.append((spark, path))
+    _scratch[path] = spark
     return path
 
 
-def clean_up() -> None:
-    """Remove every scratch table of this process; results that still read them must be written before."""
-    while _scratch:
-        spark, path = _scratch.pop()
+def _delete(paths: list[str]) -> None:
+    for path in paths:
+        spark = _scratch.pop(path)
         try:
             where = spark._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
@@ -47,11 +52,52 @@ def clean_up() -> None:
             return
 
 
+def clean_up() -> None:
+    """Remove every scratch table of this process; results that still read them must be written before."""
+    _delete(list(_scratch))
+
+
+def _read_by(df: DataFrame) -> list[str]:
+    """The scratch tables that df reads."""
+    leaves, roots = df._jdf.queryExecution().analyzed().collectLeaves(), []
+    for leaf in (leaves.apply(i) for i in range(leaves.size())):
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+            roots.append(leaf.relation().location().rootPaths().mkString(" "))
+    return [p for p in _scratch if any(os.path.basename(p) in r for r in roots)]
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete scratch tables that nothing reads any more: what was made from them has been written."""
+    _delete([p for t in tables for p in _read_by(t)])
+
+
+def free_but(*tables: DataFrame) -> None:
+    """Delete all scratch tables but those that these read. For a driver that has written what it took from all others."""
+    stay = {p for t in tables for p in _read_by(t)}
+    _delete([p for p in _scratch if p not in stay])
+
+
+@contextmanager
+def scope() -> Iterator[None]:
+    """Delete the scratch tables made inside when it ends: results must have been written or collected by then."""
+    before = set(_scratch)
+    try:
+        yield
+    finally:
+        _delete([p for p in _scratch if p not in before])
+
+
 def materialise(df: DataFrame, tag: str) -> DataFrame:
-    """Write df to the shared folder and read it again: cuts the lineage, survives lost executors, is read as often as needed."""
+    """Write df to the shared folder and read it again: cuts the lineage, survives lost executors, is read as often as needed.
+    Its shuffle files go with the write's end."""
     spark = df.sparkSession
     path = scratch(spark, tag)
-    df.write.parquet(path)
+    was = spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, was)
     return spark.read.schema(df.schema).parquet(path)
 
 
