@@ -6,7 +6,7 @@ import re
 
 import corpus_pipeline
 import numpy as np
-from test_operators import WORDS, components_of, quality_of, same, secrets_of
+from test_llm_operators import WORDS, components_of, quality_of, same, secrets_of
 from tokenizers import Tokenizer
 
 from tidemark.llm.common import materialise, scratch
@@ -49,7 +49,7 @@ def quality(rows):
     out = []
     for d, t, lang, s, _ in rows:
         words, *_, again = quality_of(t or "")
-        common = lambda x: n[s][form(x)] > 100 and n[s][form(x)] > 0.1 * len(hosts[s])  # noqa: E731, B023
+        common = lambda x: n[s][form(x)] > 5 and n[s][form(x)] > 0.05 * len(hosts[s])  # noqa: E731, B023
         lines = (t or "").split("\n")
         lost = sum(len(x.split()) for x in lines if common(x))
         if words >= 50 and 100 * again <= 50 * words and lost <= 0.5 * words:

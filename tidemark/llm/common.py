@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.shared import clean_up, materialise, scratch, shared_dir, ship
+from tidemark.shared import clean_up, discard, free_but, materialise, scope, scratch, shared_dir, ship
 
-__all__ = ["SPACES", "clean_up", "fresh", "keep_rows", "load", "materialise", "scratch", "shared_dir", "ship", "small_batches", "text_of"]
+__all__ = ["SPACES", "clean_up", "discard", "free_but", "fresh", "keyed", "load", "materialise", "scope", "scratch", "shared_dir", "ship", "small_batches", "text_of", "without_rows"]
 
 #: White space as the operators define it: the ASCII space and the controls from tab to carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -31,11 +31,21 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """The rows of docs whose row_key is kept in decided, which was made from docs as it is: all columns, in their order."""
+def keyed(docs: DataFrame, tag: str, *columns: Column) -> tuple[DataFrame, str]:
+    """docs (or these columns of it) with a row key, written to the shared folder, and the key's name.
+
+    monotonically_increasing_id() follows the splits of one scan, which change when executors come or go, so a key that is to
+    mean the same row twice must be written with it.
+    """
     key = fresh(docs, "row_key")
-    stay = decided.where("kept").select(F.col("row_key").alias(key))
-    return docs.withColumn(key, F.monotonically_increasing_id()).join(stay, key, "left_semi").select(*docs.columns)
+    return materialise(docs.select(*(columns or docs.columns), F.monotonically_increasing_id().alias(key)), tag), key
+
+
+def without_rows(rows: DataFrame, key: str, decided: DataFrame) -> DataFrame:
+    """keyed() rows, without the key, less those that decided (row_key, kept) doesn't keep: no text moves while the rows that go
+    are few enough for Spark to broadcast their keys, by the size of the table that is written here."""
+    gone = materialise(decided.where(~F.col("kept")).select(F.col("row_key").alias(key)), "rows-gone")
+    return rows.join(gone, key, "left_anti").drop(key)
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

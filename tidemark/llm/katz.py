@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.common import materialise, small_batches
-from tidemark.llm.ngram_join import mixed
+from tidemark.llm.words import mixed
 
 #: Counts up to K are discounted.
 K = 5

@@ -7,9 +7,11 @@ In that order frequent n-grams come last, so a passage that many documents share
 links; how frequent n-grams are only decides the cost. The boundary is the size at which enumerating a set begins to cost
 more than its entries in lists.
 
-Lists name candidates only. They are resolved in rounds: each set is compared with the list head that it meets most often,
-links are joined to groups, and lists whose members are all in one group are done. Lists that stay open are compared
-in full, as sets, within bounded tiles. Every link follows from the texts themselves.
+A list is split where its members' sizes leave a gap that no link crosses. Lists name candidates only. They are resolved in
+rounds: each set is compared with the list head that it meets most often, first by a parity sketch, which rules links out and
+never in, then by text; links are joined to groups, and lists whose members are all in one group are done. Lists that stay open
+are compared in full within bounded tiles. Every link follows from the texts themselves. Each table in the shared folder goes
+once its successor is written.
 """
 
 from __future__ import annotations
@@ -23,55 +25,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keep_rows, materialise, scratch, small_batches
+from tidemark.llm.common import discard, keyed, materialise, small_batches, without_rows
+from tidemark.llm.words import M3, gram_sets, mixed
 from tidemark.operators.graph import components
 
-_M1, _M2, _M3 = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijective finaliser over 64 bits."""
-    x = (x ^ (x >> np.uint64(30))) * _M1
-    x = (x ^ (x >> np.uint64(27))) * _M2
-    return x ^ (x >> np.uint64(31))
-
 
 def salted(x: np.ndarray | int, *salts: np.ndarray | int) -> np.ndarray:
     out = np.atleast_1d(np.asarray(x, np.uint64))
     for s in salts:
-        out = mixed(out + (np.atleast_1d(np.asarray(s, np.uint64)) + np.uint64(1)) * _M3)
+        out = mixed(out + (np.atleast_1d(np.asarray(s, np.uint64)) + np.uint64(1)) * M3)
     return out
 
 
-class Shingles:
-    """The set of hashed word n-grams of a text; equal words are hashed once as long as they are remembered."""
-
-    def __init__(self, size: int = 3, most: int = 500_000) -> None:
-        self.size, self.most, self.known = size, most, {}
-
-    def __call__(self, text: bytes) -> np.ndarray:
-        """Sorted distinct hashes; with fewer words than `size` the whole sequence is one n-gram, without words there is none."""
-        from xxhash import xxh3_64_intdigest
-
-        words = text.lower().split()
-        if len(words) < self.size:
-            return np.array([xxh3_64_intdigest(b" ".join(words), seed=len(words))] if words else [], np.uint64)
-        if len(self.known) > self.most:
-            self.known.clear()
-        known, out = self.known, []
-        for w in words:
-            h = known.get(w)
-            if h is None:
-                h = known[w] = xxh3_64_intdigest(w)
-            out.append(h)
-        h = np.array(out, np.uint64)
-        n = len(h) - self.size + 1
-        key = np.zeros(n, np.uint64)
-        for i in range(self.size):
-            key = mixed(key * _M3 + h[i : i + n])
-        return np.unique(key)
-
-
 class Scheme:
     """How a set of n n-grams is entered, for links at a Jaccard similarity of percent / 100 or more. list_cost is the cost of
     an entry in a list, which is scanned, over that of a subset, which hardly any other set shares by chance."""
@@ -114,42 +79,79 @@ class Scheme:
         return np.concatenate(out)
 
 
-def frequent_grams(docs: DataFrame, size: int, text_col: str, most: int = 1 << 17, least: int = 2, flush: int = 4_000_000) -> tuple[np.ndarray, np.ndarray]:
-    """The `most` n-grams that stand in the most distinct sets, sorted, and their places by that number: a bounded list.
+_NODE_BITS = 64
 
-    All texts are counted, in groups of `flush` n-grams; a group passes on those that it has `least` times.
+
+def identity(grams: np.ndarray, bits: int) -> tuple[int, int]:
+    """A set's 128-bit hash, as a node (its first bits) and a check."""
+    from xxhash import xxh3_128_intdigest
+
+    h = xxh3_128_intdigest(grams.tobytes())
+    return h >> (128 - bits), h & ((1 << 64) - 1)
+
+
+def survey(rows: DataFrame, size: int, flush: int = 4_000_000, least: int = 2) -> DataFrame:
+    """Rows of two kinds, written to the shared folder: (row_key, id, n, node, check, s) a document, where s, the set's sketch, is
+    there for the first of the copies in a run of rows; (gram, times) an n-gram that `least` distinct sets of a run hold.
+
+    All texts are read and counted; a run ends at `flush` n-grams.
     """
-    spark = docs.sparkSession
+    small_batches(rows.sparkSession)
+    kind = rows.schema["id"].dataType.simpleString()
+    bits = _NODE_BITS
+    names = ["row_key", "id", "n", "node", "check", "s", "gram", "times"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, held, seen, rows = Shingles(size), [], set(), 0
+        held: list[np.ndarray] = []
+        seen: set[tuple[int, int]] = set()
+        count, id_type = 0, None
 
         def counted() -> pa.RecordBatch:
             g, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([signed(g[n >= least]), pa.array(n[n >= least], pa.int64())], ["gram", "n"])
+            g, n = g[n >= least], n[n >= least]
+            none = [pa.nulls(len(g), t) for t in (pa.int64(), id_type, pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+            return pa.RecordBatch.from_arrays([*none, signed(g), pa.array(n, pa.int64())], names)
 
         for b in batches:
-            for t in b.column(0).cast(pa.binary()).to_pylist():
-                g = grams(t or b"")
-                key = hash(g.tobytes())
-                if key not in seen:
-                    seen.add(key)
+            id_type = b.column("id").type
+            n, marks = [], []
+            ids = np.zeros((b.num_rows, 2), np.uint64)
+            for i, g in enumerate(gram_sets(b.column("t"), size)):
+                n.append(len(g))
+                who = identity(g, bits)
+                ids[i] = who
+                new = len(g) > 0 and who not in seen
+                marks.append(sketch(g) if new else None)
+                if new:
+                    seen.add(who)
                     held.append(g)
-                    rows += len(g)
-                    if rows >= flush:
+                    count += len(g)
+                    if count >= flush:
                         yield counted()
-                        held, seen, rows = [], set(), 0
+                        held, seen, count = [], set(), 0
+            k = b.num_rows
+            yield pa.RecordBatch.from_arrays([b.column("row_key"), b.column("id"), pa.array(n, pa.int64()), signed(ids[:, 0].copy()), signed(ids[:, 1].copy()), pa.array(marks, pa.binary()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], names)
         if held:
             yield counted()
 
-    small_batches(spark)
-    counts = docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(run, "gram long, n long")
-    top = counts.groupBy("gram").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "gram").limit(most).toPandas()
+    return materialise(rows.select("row_key", "id", "t").mapInArrow(run, f"row_key long, id {kind}, n long, node long, check long, s binary, gram long, times long"), "ngram-survey")
+
+
+def frequent_grams(surveyed: DataFrame, most: int = 1 << 17) -> tuple[np.ndarray, np.ndarray]:
+    """The `most` n-grams that stand in the most distinct sets, sorted, and their places by that number: a bounded list."""
+    counts = surveyed.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("times").alias("n"))
+    top = counts.orderBy(F.desc("n"), "gram").limit(most).toPandas()
     grams = top["gram"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(grams)
     return grams[order], len(grams) - 1 - order
 
 
+def clashes(surveyed: DataFrame) -> list[int]:
+    """Nodes that two sets share, of which N sets have N * N / 2^65 on average: 271 at 10^11. Such sets go by their check."""
+    two = surveyed.where("n > 0").groupBy("node").agg(F.min("check").alias("lo"), F.max("check").alias("hi")).where("lo < hi")
+    return [r[0] for r in two.select("node").collect()]
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     if min(len(a), len(b)) * 100 < percent * max(len(a), len(b)):
         return False
@@ -176,107 +178,108 @@ def signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64), pa.int64())
 
 
-def entries(docs: DataFrame, scheme: Scheme, size: int, ranges: int, id_col: str, text_col: str, flush: int = 4_000_000) -> DataFrame:
-    """Rows of two kinds, written to the shared folder: (row_key, id, n, node) a document; (part, keys, nodes) a block of a
-    part of the key range, whose keys are sorted and whose nodes stand in the same order. node is a 64-bit hash of the set,
-    so equal sets are one node."""
-    from xxhash import xxh3_64_intdigest
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    often = docs.sparkSession.sparkContext.broadcast(frequent_grams(docs, size, text_col))  # a list of bounded length
-    names = ["row_key", "id", "n", "node", "part", "keys", "nodes"]
+def entries(rows: DataFrame, scheme: Scheme, size: int, ranges: int, frequent: tuple[np.ndarray, np.ndarray], clashing: list[int], flush: int = 4_000_000) -> DataFrame:
+    """(part, keys, nodes): blocks of parts of the key range, whose keys are sorted and whose nodes, with their sizes, stand in
+    the same order; written to the shared folder."""
+    often = rows.sparkSession.sparkContext.broadcast(frequent)  # a list of bounded length
+    twice, bits = {x & ((1 << 64) - 1) for x in clashing}, _NODE_BITS
     width = np.uint64((1 << 64) // ranges + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = Shingles(size)
-        held: list[tuple[np.ndarray, int]] = []
+        held: list[tuple[np.ndarray, int, int]] = []
         seen: set[int] = set()
-        rows, id_type = 0, None
+        count = 0
 
         def blocks() -> pa.RecordBatch:
-            keys = np.concatenate([k for k, _ in held])
-            nodes = np.repeat(np.array([x for _, x in held], np.uint64), [len(k) for k, _ in held])
+            keys = np.concatenate([k for k, _, _ in held])
+            at = np.repeat(np.arange(len(held)), [len(k) for k, _, _ in held])
+            nodes, sizes = np.array([x for _, x, _ in held], np.uint64), np.array([n for _, _, n in held], np.uint32)
             order = np.argsort(keys)
-            keys, nodes = keys[order], nodes[order]
+            keys, at = keys[order], at[order]
             part = (keys // width).astype(np.int32)
             cut = np.flatnonzero(np.diff(part)) + 1
-            ks, ns = np.split(keys, cut), np.split(nodes, cut)
+            ks = np.split(keys, cut)
             parts = [int(p[0]) for p in np.split(part, cut)]
-            return pa.RecordBatch.from_arrays(
-                [pa.nulls(len(ks), pa.int64()), pa.nulls(len(ks), id_type), pa.nulls(len(ks), pa.int64()), pa.nulls(len(ks), pa.int64()), pa.array(parts, pa.int32()), pa.array(map(squeezed, ks), pa.binary()), pa.array([node_bytes(x) for x in ns], pa.binary())], names
-            )
+            return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(map(squeezed, ks), pa.binary()), pa.array([node_bytes(nodes, sizes, x) for x in np.split(at, cut)], pa.binary())], ["part", "keys", "nodes"])
 
         for b in batches:
-            id_type = b.column(1).type
-            n, nodes = [], np.zeros(b.num_rows, np.uint64)
-            for i, t in enumerate(b.column(2).cast(pa.binary()).to_pylist()):
-                g = grams(t or b"")
-                n.append(len(g))
-                nodes[i] = node = xxh3_64_intdigest(g.tobytes())
-                if len(g) and node not in seen:  # a set's copies in this flush are entered once
+            for g in gram_sets(b.column("t"), size):
+                if not len(g):
+                    continue
+                node, check = identity(g, bits)
+                node = check if node in twice else node
+                if node not in seen:  # a set's copies in this run are entered once
                     seen.add(node)
-                    held.append((scheme.keys(g, *often.value), node))
-                    rows += len(held[-1][0])
-                    if rows >= flush:
+                    held.append((scheme.keys(g, *often.value), node, len(g)))
+                    count += len(held[-1][0])
+                    if count >= flush:
                         yield blocks()
-                        held, rows, seen = [], 0, set()
-            k = b.num_rows
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), signed(nodes), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())], names)
+                        held, count, seen = [], 0, set()
         if held:
             yield blocks()
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row_key"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
-    return materialise(rows.mapInArrow(run, f"row_key long, id {kind}, n long, node long, part int, keys binary, nodes binary"), "ngram-entries")
+    return materialise(rows.select("t").mapInArrow(run, "part int, keys binary, nodes binary"), "ngram-entries")
 
 
-def node_bytes(nodes: np.ndarray) -> bytes:
-    """Nodes in any order: their distinct values and places among those."""
+def node_bytes(nodes: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> bytes:
+    """nodes[at] and sizes[at]: the distinct ones, and places among them."""
     import zstandard
 
-    values, at = np.unique(nodes, return_inverse=True)
-    kind = np.uint16 if len(values) <= 1 << 16 else np.uint32
-    return len(values).to_bytes(4, "little") + zstandard.compress(values.tobytes() + at.astype(kind).tobytes(), 1)
+    used, place = np.unique(at, return_inverse=True)
+    kind = np.uint16 if len(used) <= 1 << 16 else np.uint32
+    return len(used).to_bytes(4, "little") + zstandard.compress(nodes[used].tobytes() + sizes[used].tobytes() + place.astype(kind).tobytes(), 1)
 
 
-def nodes_from(b: bytes) -> np.ndarray:
+def nodes_from(b: bytes) -> tuple[np.ndarray, np.ndarray]:
     import zstandard
 
     n, raw = int.from_bytes(b[:4], "little"), zstandard.decompress(b[4:])
-    return np.frombuffer(raw[: 8 * n], np.uint64)[np.frombuffer(raw[8 * n :], np.uint16 if n <= 1 << 16 else np.uint32)]
+    at = np.frombuffer(raw[12 * n :], np.uint16 if n <= 1 << 16 else np.uint32)
+    return np.frombuffer(raw[: 8 * n], np.uint64)[at], np.frombuffer(raw[8 * n : 12 * n], np.uint32)[at]
 
 
-def lists(found: DataFrame) -> DataFrame:
-    """(bucket, node, weight): the members of every key that two or more nodes have. Keys with the same members are one bucket,
-    named by a hash of those, whose weight is their number."""
+def lists(found: DataFrame, percent: int) -> DataFrame:
+    """(bucket, node, weight): the members of every key that two or more nodes have, split where a member is too large for the
+    one before it. Lists with the same members are one bucket, named by a hash of those, whose weight is their number."""
 
     def scan(part: pa.Table) -> pa.Table:
         keys = np.concatenate([unsqueezed(b) for b in part.column("keys").to_pylist()])
-        nodes = np.concatenate([nodes_from(b) for b in part.column("nodes").to_pylist()])
-        order = np.lexsort((nodes, keys))
-        keys, nodes = keys[order], nodes[order]
+        both = [nodes_from(b) for b in part.column("nodes").to_pylist()]
+        nodes, n = np.concatenate([x for x, _ in both]), np.concatenate([x for _, x in both]).astype(np.int64)
+        order = np.argsort(keys, kind="stable")
+        k = keys[order]
+        again = np.zeros(len(k), bool)
+        again[1:] = k[1:] == k[:-1]
+        again[:-1] |= again[1:]
+        order = order[again]  # keys that one node alone has are most
+        keys, nodes, n = keys[order], nodes[order], n[order]
+        order = np.lexsort((nodes, n, keys))
+        keys, nodes, n = keys[order], nodes[order], n[order]
         new = np.ones(len(keys), bool)
         new[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
-        keys, nodes = keys[new], nodes[new]
-        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+        keys, nodes, n = keys[new], nodes[new], n[new]
+        begins = np.ones(len(keys), bool)
+        begins[1:] = (keys[1:] != keys[:-1]) | (100 * n[:-1] < percent * n[1:])
+        starts = np.flatnonzero(begins)
         sizes = np.diff(starts, append=len(keys))
         prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(nodes), dtype=np.uint64)])
         shared = sizes > 1
-        s, n = starts[shared], sizes[shared]
-        names, first, weight = np.unique(np.stack([prefix[s + n] - prefix[s], n.astype(np.uint64)]), axis=1, return_index=True, return_counts=True) if len(s) else (np.zeros((2, 0), np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-        names = salted(names[0], names[1])
-        s, n = s[first], n[first]
-        rows = np.repeat(s - np.concatenate([[0], np.cumsum(n)[:-1]]).astype(np.int64), n) + np.arange(n.sum()) if len(s) else np.zeros(0, np.int64)
-        return pa.table({"bucket": signed(np.repeat(names, n)), "node": signed(nodes[rows]), "weight": pa.array(np.repeat(weight, n), pa.int64())})
-
-    blocks = found.where("part IS NOT NULL").select("part", "keys", "nodes")
-    members = blocks.groupBy("part").applyInArrow(scan, "bucket long, node long, weight long")
+        s, m = starts[shared], sizes[shared]
+        if not len(s):
+            return pa.table({"bucket": pa.array([], pa.int64()), "node": pa.array([], pa.int64()), "weight": pa.array([], pa.int64())})
+        names, first, weight = np.unique(salted(prefix[s + m] - prefix[s], m.astype(np.uint64)), return_index=True, return_counts=True)
+        s, m = s[first], m[first]
+        rows = np.repeat(s - np.concatenate([[0], np.cumsum(m)[:-1]]), m) + np.arange(m.sum())
+        return pa.table({"bucket": signed(np.repeat(names, m)), "node": signed(nodes[rows]), "weight": pa.array(np.repeat(weight, m), pa.int64())})
+
+    members = found.groupBy("part").applyInArrow(scan, "bucket long, node long, weight long")
     return materialise(members.groupBy("bucket", "node").agg(F.sum("weight").alias("weight")), "ngram-lists")
 
 
 def sketch(grams: np.ndarray) -> bytes:
-    """In which of four to eight classes an n-gram a set has an odd number of n-grams. Two sketches differ in no more classes than
+    """In which of one to two classes an n-gram a set has an odd number of n-grams. Two sketches differ in no more classes than
     the number of n-grams that only one of the sets has, so they can rule a link out, never in."""
-    width = 1 << max(8, int(4 * len(grams)).bit_length())
+    width = 1 << max(7, len(grams).bit_length())
     return np.packbits((np.bincount((grams & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1).astype(bool), bitorder="little").tobytes()
 
 
@@ -289,18 +292,6 @@ def apart(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum())
 
 
-def sketched(texts: DataFrame, size: int) -> DataFrame:
-    """(node, n, s): the sets' sizes and sketches."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = Shingles(size)
-        for b in batches:
-            sets = [grams(t) for t in b.column("t").cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([len(g) for g in sets], pa.int64()), pa.array([sketch(g) for g in sets], pa.binary())], ["node", "n", "s"])
-
-    return materialise(texts.select("node", "t").mapInArrow(run, "node long, n long, s binary"), "ngram-sketches")
-
-
 def possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that their sketches don't rule out."""
 
@@ -315,51 +306,94 @@ def possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").where(near).mapInArrow(test, "a long, b long")
 
 
-def compared(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
+def texts_of(nodes: DataFrame, first: DataFrame, rows: DataFrame) -> DataFrame:
+    """(node, t): the texts of these nodes, from the row that stands for each. Where Spark finds the nodes few by the size of
+    their table, it broadcasts their row keys, so only their texts move."""
+    wanted = materialise(nodes.distinct().join(first, "node"), "ngram-wanted")
+    return rows.join(wanted, "row_key").select("node", "t")
+
+
+def compared(pairs: DataFrame, first: DataFrame, rows: DataFrame, percent: int, size: int) -> DataFrame:
     """The pairs (a, b) of nodes whose texts link."""
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = Shingles(size)
+        last, mine = None, None
         for b in batches:
-            last, mine = None, None
             hit = []
-            for k, x, y in zip(b.column("b").to_pylist(), b.column("tb").cast(pa.binary()).to_pylist(), b.column("ta").cast(pa.binary()).to_pylist(), strict=True):
+            for k, x, i in zip(b.column("b").to_pylist(), gram_sets(b.column("ta"), size), range(b.num_rows), strict=True):
                 if k != last:
-                    last, mine = k, grams(x)
-                hit.append(linked(grams(y), mine, percent))
+                    last, mine = k, next(gram_sets(b.column("tb").slice(i, 1), size))
+                hit.append(linked(x, mine, percent))
             yield b.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
 
+    texts = texts_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), first, rows)
     side = lambda k: texts.select(F.col("node").alias(k), F.col("t").alias(f"t{k}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(test, "a long, b long")
 
 
-def compared_in_full(members: DataFrame, texts: DataFrame, sketches: DataFrame, percent: int, size: int, tile: int = 512, task_rows: int = 1000) -> DataFrame:
-    """Links (a, b) that join all linked members of each unit (unit, node, label, total) across labels.
-
-    A unit is dealt out as pairs of tiles of about `tile` members, small units several to a task. In each, only pairs that no
-    link found before has joined are emitted, so a tile gives fewer links than members. Sketches tell first which members have
-    any possible partner; only their texts are moved.
-    """
+class Marks:
+    """The sketches of sets in order of size, as a matrix for each width; the wider ones also folded to the next width below."""
+
+    def __init__(self, sizes: list[int], marks: list[bytes], percent: int) -> None:
+        n = np.array(sizes, np.int64)
+        self.percent, self.order = percent, np.argsort(n, kind="stable")  # so that a set meets only larger ones, in a range of sizes
+        self.n = n[self.order]
+        self.words = np.array([len(marks[i]) // 8 for i in self.order], np.int64)
+        self.rows = [np.frombuffer(marks[i], np.uint64) for i in self.order]
+
+    def stacked(self, start: int, end: int, words: int) -> np.ndarray:
+        """Sketches start to end, folded to this width."""
+        parts = []
+        while start < end:
+            wide = int(self.words[start])
+            stop = min(end, int(np.searchsorted(self.words, wide, "right")))
+            m = np.concatenate(self.rows[start:stop]).reshape(stop - start, wide // words, words)
+            parts.append(m[:, 0] if wide == words else np.bitwise_xor.reduce(m, axis=1))
+            start = stop
+        return np.concatenate(parts)
+
+    def candidates(self, block: int = 256) -> Iterator[tuple[int, np.ndarray]]:
+        """Each set's number, and those of the sets not before it that a link isn't ruled out with."""
+        n, percent = self.n, self.percent
+        ends = np.searchsorted(n, n * 100 // percent, "right")
+        for start in range(0, len(n), block):
+            for lo, hi in ((a, b) for a, b in self.runs(start, min(start + block, len(n)))):
+                words, last = int(self.words[lo]), int(ends[hi - 1])
+                if last <= lo + 1:
+                    continue
+                rest = self.stacked(lo, last, words)
+                for i in range(lo, hi):
+                    far = np.bitwise_count(rest[i - lo + 1 : ends[i] - lo] ^ rest[i - lo]).sum(1, dtype=np.int64)
+                    near = np.flatnonzero((100 + percent) * far <= (100 - percent) * (n[i] + n[i + 1 : ends[i]]))
+                    if len(near):
+                        yield int(self.order[i]), self.order[i + 1 + near]
+
+    def runs(self, start: int, end: int) -> Iterator[tuple[int, int]]:
+        while start < end:
+            stop = min(end, int(np.searchsorted(self.words, self.words[start], "right")))
+            yield start, stop
+            start = stop
+
+
+def dealt(members: DataFrame, tile: int, task_rows: int) -> DataFrame:
+    """(u, x, y, unit, node, label): units (unit, node, label, total) dealt out as pairs of tiles of about `tile` members, small
+    units several to a task."""
     bins = max(1, members.count() // task_rows)
     tiles = members.withColumn("tiles", F.greatest(F.ceil(F.col("total") / tile), F.lit(1)).cast("int"))
     tiles = tiles.withColumn("mine", F.pmod(F.xxhash64("node", "unit"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     tiles = tiles.select("unit", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "node", "label", F.pmod(F.xxhash64("unit"), F.lit(bins)).alias("bin"), "tiles")
     one = F.col("tiles") == 1
     task = [F.when(one, -1).otherwise(F.col("unit")).alias("u"), F.when(one, F.col("bin")).otherwise(F.col("lo")).cast("int").alias("x"), F.when(one, 0).otherwise(F.col("hi")).alias("y")]
-    tiles = tiles.select(*task, "unit", "node", "label")
-
-    def candidates(sizes: list[int], marks: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
-        n = np.array(sizes)
-        order = np.argsort(n, kind="stable")  # so that a set meets only larger ones, in a range of sizes
-        m = n[order]
-        for i in range(len(m) - 1):
-            end = int(np.searchsorted(m, m[i] * 100 // percent, "right"))
-            if end > i + 1:
-                words = len(marks[order[i]]) // 8
-                mine = folded(marks[order[i]], words)
-                rest = np.stack([folded(marks[j], words) for j in order[i + 1 : end]]) if len(marks[order[end - 1]]) // 8 != words else np.frombuffer(b"".join(marks[j] for j in order[i + 1 : end]), np.uint64).reshape(-1, words)
-                far = np.bitwise_count(rest ^ mine).sum(1, dtype=np.int64)
-                yield int(order[i]), order[i + 1 : end][(100 + percent) * far <= (100 - percent) * (m[i] + m[i + 1 : end])]
+    return tiles.select(*task, "unit", "node", "label")
+
+
+def compared_in_full(members: DataFrame, sketches: DataFrame, first: DataFrame, rows: DataFrame, percent: int, size: int, tile: int = 4096, text_tile: int = 512, task_rows: int = 1000) -> DataFrame:
+    """Links (a, b) that join all linked members of each unit (unit, node, label, total) across labels.
+
+    Sketches tell first, in tiles of `tile`, which members have any possible partner; only their texts are moved, in tiles of
+    `text_tile`. In each of those, only pairs that no link found before has joined are emitted, so a tile gives fewer links
+    than members.
+    """
 
     def members_of(group: pa.Table) -> Iterator[list[int]]:
         by: dict[int, list[int]] = {}
@@ -368,14 +402,16 @@ def compared_in_full(members: DataFrame, texts: DataFrame, sketches: DataFrame,
         yield from by.values()
 
     def hopeful(group: pa.Table) -> pa.Table:
-        n, marks, labels = (group.column(c).to_pylist() for c in ("n", "s", "label"))
+        n, marks, labels = group.column("n").to_pylist(), group.column("s").to_pylist(), group.column("label").to_numpy()
         keep = np.zeros(len(n), bool)
         for at in members_of(group):
-            for i, found in candidates([n[k] for k in at], [marks[k] for k in at]):
-                for j in found:
-                    if labels[at[i]] != labels[at[j]]:
-                        keep[at[i]] = keep[at[j]] = True
-        return group.select(["u", "x", "y", "unit", "node", "label"]).filter(pa.array(keep))
+            own = labels[at]
+            for i, found in Marks([n[k] for k in at], [marks[k] for k in at], percent).candidates():
+                other = found[own[found] != own[i]]
+                if len(other):
+                    keep[at[i]] = True
+                    keep[np.array(at)[other]] = True
+        return group.select(["unit", "node", "label"]).filter(pa.array(keep))
 
     def links(sets: list[np.ndarray], nodes: list[int], labels: list[int]) -> list[tuple[int, int]]:
         root = {x: x for x in labels}
@@ -386,7 +422,7 @@ def compared_in_full(members: DataFrame, texts: DataFrame, sketches: DataFrame,
             return x
 
         out = []
-        for i, found in candidates([len(x) for x in sets], [sketch(x) for x in sets]):
+        for i, found in Marks([len(x) for x in sets], [sketch(x) for x in sets], percent).candidates():
             for j in found:
                 x, y = find(labels[i]), find(labels[j])
                 if x != y and linked(sets[i], sets[j], percent):
@@ -395,78 +431,116 @@ def compared_in_full(members: DataFrame, texts: DataFrame, sketches: DataFrame,
         return out
 
     def test(group: pa.Table) -> pa.Table:
-        grams = Shingles(size)
-        texts, nodes, labels = group.column("t").cast(pa.binary()), group.column("node").to_pylist(), group.column("label").to_pylist()
+        sets = [g for chunk in group.column("t").chunks for g in gram_sets(chunk, size)]
+        nodes, labels = group.column("node").to_pylist(), group.column("label").to_pylist()
         out = []
         for at in members_of(group):
-            out += links([grams(texts[i].as_py()) for i in at], [nodes[i] for i in at], [labels[i] for i in at])
+            out += links([sets[i] for i in at], [nodes[i] for i in at], [labels[i] for i in at])
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
-    told = tiles.join(sketches, "node").groupBy("u", "x", "y").applyInArrow(hopeful, "u long, x int, y int, unit long, node long, label long")
-    return told.join(texts, "node").groupBy("u", "x", "y").applyInArrow(test, "a long, b long")
+    told = dealt(members, tile, task_rows).join(sketches, "node").groupBy("u", "x", "y").applyInArrow(hopeful, "unit long, node long, label long")
+    told = materialise(told.distinct(), "ngram-hopeful")
+    total = materialise(told.groupBy("unit").agg(F.count("*").alias("total")), "ngram-sizes")
+    texts = texts_of(told.select("node"), first, rows)
+    return dealt(told.join(total, "unit"), text_tile, task_rows // 4).join(texts, "node").groupBy("u", "x", "y").applyInArrow(test, "a long, b long")
 
 
-def units(left: DataFrame, tile: int = 512) -> DataFrame:
+def units(left: DataFrame, tile: int = 4096) -> DataFrame:
     """Open buckets as units of full comparison. Buckets that overlap make a family; a family is one unit where that hands out
-    fewer texts than its buckets would, which is told from the numbers of its members and entries."""
+    fewer sketches than its buckets would, which is told from the numbers of its members and entries.
+
+    A family may hold most of the rows, so its sizes are taken after a distinct by member, and written: Spark broadcasts them
+    if they are few, else splits the join.
+    """
     tied = left.select(F.col("label").alias("a"), F.col("head.label").alias("b"))  # groups, of which there are fewer than members
-    family = left.join(components(tied).toDF("label", "family"), "label")
-    size_ = family.groupBy("family").agg(F.count_distinct("node").alias("n"), F.count("*").alias("entries"))
-    chosen = family.join(size_.where(F.col("n") * F.ceil(F.col("n") / tile) <= F.col("entries")).select("family", "n"), "family", "left")
+    labels = components(tied).toDF("label", "family")
+    family = materialise(left.join(labels, "label"), "ngram-families")
+    discard(labels)
+    entered = family.groupBy("family", "node").agg(F.count("*").alias("k")).groupBy("family").agg(F.count("*").alias("n"), F.sum("k").alias("entries"))
+    whole = materialise(entered.where(F.col("n") * F.ceil(F.col("n") / tile) <= F.col("entries")).select("family", "n"), "ngram-family-sizes")
+    chosen = family.join(whole, "family", "left")
     one = chosen.where("n IS NOT NULL").select(F.col("family").alias("unit"), "node", "label", F.col("n").alias("total")).distinct()
-    return materialise(one.union(chosen.where("n IS NULL").select("bucket", "node", "label", "total")), "ngram-units")
-
-
-def groups(docs: DataFrame, percent: int = 90, size: int = 3, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2, part_chars: int = 32_000_000) -> DataFrame:
-    """One row per input row: row_key, the id, n_shingles, component_id (the smallest id reachable by links).
+    out = materialise(one.union(chosen.where("n IS NULL").select("bucket", "node", "label", "total")), "ngram-units")
+    discard(family, whole)
+    return out
 
-    Words are split at ASCII white space after lower-casing A-Z. Two texts link when their sets of distinct word n-grams
-    have a Jaccard similarity of percent / 100 or more; a text with fewer words than `size` has its word sequence as the
-    only n-gram. A null or empty text has none and links with nothing, not even another. Repeated rows are copies of one
-    another; ids that tie or are null are allowed (a component of null ids only has a null one). Texts of any length are
-    taken whole. An empty table gives no rows.
 
-    part_chars sets how many characters of text a part of the key range stands for, so a task's share is of fixed size.
-    """
-    spark = docs.sparkSession
+def decided(rows: DataFrame, percent: int, size: int, part_grams: int = 4_000_000) -> DataFrame:
+    """row_key, id, n, component of written rows (row_key, id, t). A part of the key range stands for part_grams n-grams of all sets, so a
+    task's share is of fixed size."""
+    spark = rows.sparkSession
     scheme = Scheme(percent)
-    chars = docs.agg(F.sum(F.length(text_col))).first()[0] or 0
-    found = entries(docs, scheme, size, max(12, -(-chars // part_chars)), id_col, text_col)
-    sets = found.where("part IS NULL").select("row_key", "id", "n", "node")
-    members = lists(found)
-    first = members.select("node").distinct().join(sets.where("n > 0"), "node").groupBy("node").agg(F.min("row_key").alias("row_key"))
-    whole = docs.select(F.monotonically_increasing_id().alias("row_key"), F.col(text_col).cast("string").alias("t"))
-    texts = materialise(whole.join(first, "row_key").select("node", "t"), "ngram-texts")
-    sketches = sketched(texts, size)
-
-    links = spark.createDataFrame([], "a long, b long")
-    for step in range(rounds + 1):
+    surveyed = survey(rows, size)
+    total = surveyed.agg(F.sum("n")).first()[0] or 0
+    clashing = clashes(surveyed)
+    found = entries(rows, scheme, size, max(12, -(-total // part_grams)), frequent_grams(surveyed), clashing)
+    members = lists(found, percent)
+    discard(found)
+    named = surveyed.where("row_key IS NOT NULL").withColumn("node", F.when(F.col("node").isin(clashing), F.col("check")).otherwise(F.col("node")) if clashing else F.col("node"))
+    sets = materialise(named.select("row_key", "id", "n", "node"), "ngram-sets")
+    some = materialise(members.select("node").distinct(), "ngram-members")
+    first = materialise(sets.where("n > 0").groupBy("node").agg(F.min("row_key").alias("row_key")).join(some, "node"), "ngram-first")
+    sketches = materialise(named.where("s IS NOT NULL").join(some, "node").groupBy("node").agg(F.first("n").alias("n"), F.first("s").alias("s")), "ngram-sketches")
+    discard(surveyed, some)
+
+    links, written = spark.createDataFrame([], "a long, b long"), []
+    for step in range(3):
         labels = components(links) if step else None
         at = F.coalesce("label", "node") if step else F.col("node")
-        named = (members.join(labels, "node", "left") if step else members).withColumn("label", at)
-        open_ = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("total"), F.min(F.struct("node", "label")).alias("head")).where("lo < hi")
-        left = materialise(named.join(open_.select("bucket", "total", "head"), "bucket"), "ngram-open")
-        if step < rounds:
+        with_labels = (members.join(labels, "node", "left") if step else members).withColumn("label", at)
+        open_ = with_labels.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("total"), F.min(F.struct("node", "label")).alias("head")).where("lo < hi")
+        left = materialise(with_labels.join(open_.select("bucket", "total", "head"), "bucket"), "ngram-open")
+        if labels is not None:
+            discard(labels)
+        discard(members)
+        members = left.select("bucket", "node", "weight")  # a list that is closed stays closed
+        if step < 2:
             met = left.where("label <> head.label").groupBy("node", F.col("head.node").alias("head")).agg(F.sum("weight").alias("weight"))
-            pairs = met.groupBy("node").agg(F.max(F.struct("weight", "head")).alias("best")).select(F.col("node").alias("a"), F.col("best.head").alias("b"))
-            new = compared(possible(pairs, sketches, percent), texts, percent, size)
+            best = met.groupBy("node").agg(F.max(F.struct("weight", "head")).alias("best")).select(F.col("node").alias("a"), F.col("best.head").alias("b"))
+            pairs = materialise(possible(best, sketches, percent), "ngram-pairs")
+            new = materialise(compared(pairs, first, rows, percent, size), "ngram-links")
+            discard(pairs)
         else:
-            new = compared_in_full(units(left), texts, sketches, percent, size)
-        path = scratch(spark, "ngram-links")
-        new.write.parquet(path)
-        links = links.union(spark.read.schema("a long, b long").parquet(path))
+            unit = units(left)
+            discard(left)
+            new = materialise(compared_in_full(unit, sketches, first, rows, percent, size), "ngram-links")
+            discard(unit)
+        written.append(new)
+        links = links.union(new)
     labels = components(links)
+    discard(first, sketches, *written)
     named = materialise(sets.join(labels, "node", "left").select("row_key", "id", "n", F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("component")), "ngram-named")
+    discard(sets, labels)
+    return named
+
+
+def resolved(rows: DataFrame, percent: int, size: int) -> DataFrame:
+    """row_key, id, n, first (the component's smallest id), kept."""
+    named = decided(rows, percent, size)
     smallest = materialise(named.where("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("first"), F.min(F.struct(F.col("id").isNull(), "id", "row_key")).alias("keep"), F.count("*").alias("rows")).where("rows > 1"), "ngram-components")
     return named.join(smallest, "component", "left").select(
-        "row_key",
-        F.col("id").alias(id_col),
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("rows").isNull(), F.col("id")).otherwise(F.col("first")).alias("component_id"),
-        F.coalesce(F.col("keep.row_key") == F.col("row_key"), F.lit(True)).alias("kept"),
+        "row_key", "id", "n", F.when(F.col("rows").isNull(), F.col("id")).otherwise(F.col("first")).alias("first"), F.coalesce(F.col("keep.row_key") == F.col("row_key"), F.lit(True)).alias("kept")
     )
 
 
+def groups(docs: DataFrame, percent: int = 90, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: the id, n_shingles, component_id (the smallest id reachable by links).
+
+    Words are split at ASCII white space after lower-casing A-Z. Two texts link when their sets of distinct word n-grams
+    have a Jaccard similarity of percent / 100 or more; a text with fewer words than `size` has its word sequence as the
+    only n-gram. A null or empty text has none and links with nothing, not even another. Repeated rows are copies of one
+    another; ids that tie or are null are allowed (a component of null ids only has a null one). Texts of any length are
+    taken whole. An empty table gives no rows.
+    """
+    rows, key = keyed(docs, "ngram-rows", F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
+    out = resolved(rows.withColumnRenamed(key, "row_key"), percent, size)
+    discard(rows)
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("first").alias("component_id"))
+
+
 def keep_one(docs: DataFrame, percent: int = 90, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay when each group keeps its smallest id, all columns."""
-    return keep_rows(docs, groups(docs, percent, size, id_col, text_col))
+    """The rows of docs that stay when each group keeps its smallest id, all columns. Texts without words all stay; nulls,
+    repeated rows and an empty table as in groups()."""
+    rows, key = keyed(docs, "ngram-rows")
+    out = resolved(rows.select(F.col(key).alias("row_key"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")), percent, size)
+    return without_rows(rows, key, out)

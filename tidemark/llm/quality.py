@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh, materialise, small_batches
+from tidemark.llm.common import discard, fresh, keyed, materialise, small_batches, without_rows
 
 SYMBOLS = b"#*$%&|<>"
 
@@ -63,7 +64,7 @@ def measure(text: bytes) -> tuple[int, int, int, int, int, list[int], list[int]]
     return len(codes), chars, symbols, worded - len(seen), repeated_words(codes, len(index)), list(lines), list(lines.values())
 
 
-def measures(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
+def measures(docs: DataFrame, id_col: str, text_col: str, host_col: str, key: Column) -> DataFrame:
     """row_key, the id, host, the measures, text_hash, lines (hashes) and line_words, written to the shared folder."""
     from xxhash import xxh3_64_intdigest
 
@@ -78,36 +79,54 @@ def measures(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> Data
             columns = [b.column("row_key"), b.column("id"), b.column("host"), *(pa.array(c, pa.int64()) for c in found[:5]), pa.array(hashes, pa.int64()), *(pa.array(c, pa.list_(pa.int64())) for c in found[5:])]
             yield pa.RecordBatch.from_arrays(columns, ["row_key", "id", "host", *names, "text_hash", "lines", "line_words"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row_key"), F.col(id_col).alias("id"), F.coalesce(F.concat(F.lit("h"), F.col(host_col).cast("string")), F.lit("n")).alias("host"), F.col(text_col).cast("string").alias("t"))
+    rows = docs.select(key.alias("row_key"), F.col(id_col).alias("id"), F.coalesce(F.concat(F.lit("h"), F.col(host_col).cast("string")), F.lit("n")).alias("host"), F.col(text_col).cast("string").alias("t"))
     types = ", ".join(f"{n} long" for n in names)
     return materialise(rows.mapInArrow(run, f"row_key long, id {docs.schema[id_col].dataType.simpleString()}, host string, {types}, text_hash long, lines array<long>, line_words array<long>"), "quality-measures")
 
 
-def judge(docs: DataFrame, id_col: str, text_col: str, host_col: str, least: int, share: float, depleted: float, min_words: int) -> DataFrame:
-    """The columns of verdicts() and cut, the hashes of the row's common lines (null if it has none)."""
-    rows = measures(docs, id_col, text_col, host_col)
+@dataclass(frozen=True)
+class Limits:
+    """A normalised line is above the limits in a host if more than `least` distinct documents of the host hold it, and more than
+    `share` of them or more than `most`. A document that would lose more than `depleted` of its words with such lines is
+    rejected, as is one with under min_words words.
+
+    Documents with the same text count once. `least` is what it takes to tell boilerplate from a few near copies in a small
+    host, `share` what tells it from a large group of them, and `most` is for hosts so large that no group of copies but
+    boilerplate gets there.
+    """
+
+    least: int = 5
+    share: float = 0.05
+    most: int = 10_000
+    depleted: float = 0.5
+    min_words: int = 50
+
+
+def judge(docs: DataFrame, id_col: str, text_col: str, host_col: str, limits: Limits, key: Column) -> DataFrame:
+    """The columns of verdicts(), row_key, and cut, the hashes of the row's common lines (null if it has none)."""
+    rows = measures(docs, id_col, text_col, host_col, key)
     texts = rows.select("host", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("texts"))
     once = rows.select("host", "text_hash", F.explode("lines").alias("line")).distinct()
-    counts = once.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > least)
-    common = materialise(counts.join(texts, "host").where(F.col("n") > share * F.col("texts")).select("host", "line"), "quality-lines")
+    counts = once.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > limits.least)
+    above = (F.col("n") > limits.share * F.col("texts")) | (F.col("n") > limits.most)
+    common = materialise(counts.join(texts, "host").where(above).select("host", "line"), "quality-lines")
     each = rows.select("row_key", "host", F.explode(F.arrays_zip("lines", "line_words")).alias("l")).select("row_key", "host", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words"))
     lost = each.join(common, ["host", "line"]).groupBy("row_key").agg(F.sum("words").alias("lost_words"), F.collect_list("line").alias("cut"))
     out = rows.drop("lines", "line_words").join(lost, "row_key", "left").withColumn("lost_words", F.coalesce("lost_words", F.lit(0)))
-    out = out.withColumn("base_failed", (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    kept = ~F.col("base_failed") & (F.col("lost_words") <= depleted * F.col("n_words"))
+    out = out.withColumn("base_failed", (F.col("n_words") < limits.min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
+    kept = ~F.col("base_failed") & (F.col("lost_words") <= limits.depleted * F.col("n_words"))
     return out.select("row_key", F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lost_words", kept.alias("kept"), "cut")
 
 
-def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", least: int = 100, share: float = 0.1, depleted: float = 0.5, min_words: int = 50) -> DataFrame:
-    """One row per input row: row_key, the id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, lost_words, kept.
+def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", limits: Limits = Limits()) -> DataFrame:
+    """One row per input row: the id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, lost_words (words of
+    lines above the limits), kept.
 
-    A normalised line is above the limit in a host if it stands in more distinct documents of the host (documents with the
-    same text count once) than both `least` and `share` of them. A document that would lose more than `depleted` of its words
-    with such lines is rejected, as is one with under min_words words or with over half its words in repeated 3-word windows;
-    keep_good() removes the lines from the others. A null or empty text has no words and is rejected; a null host is a host
-    of its own; repeated rows are judged alike. An empty table gives no rows.
+    Rejected are documents depleted by the limits, those with few words, and those with over half their words in repeated
+    3-word windows; keep_good() removes the lines from the others. A null or empty text has no words and is rejected; a null
+    host is a host of its own; repeated rows are judged alike. An empty table gives no rows.
     """
-    return judge(docs, id_col, text_col, host_col, least, share, depleted, min_words).drop("cut")
+    return judge(docs, id_col, text_col, host_col, limits, F.monotonically_increasing_id()).drop("row_key", "cut")
 
 
 def without(text: str, cut: set[int]) -> str:
@@ -123,15 +142,18 @@ def without(text: str, cut: set[int]) -> str:
     return "\n".join(left)
 
 
-def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", length_col: str | None = None, least: int = 100, share: float = 0.1, depleted: float = 0.5, min_words: int = 50) -> DataFrame:
-    """The rows of docs that verdicts() keeps, all columns, with every line above the limit removed from their texts.
+def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", length_col: str | None = None, limits: Limits = Limits()) -> DataFrame:
+    """The rows of docs that verdicts() keeps, all columns, with every line above the limits removed from their texts.
 
     length_col is set to the new length in the texts that lose a line; the others stay as they are. The measures are those of
-    the whole text: what is left isn't judged again.
+    the whole text: what is left isn't judged again. Nulls, repeated rows and an empty table as in verdicts().
     """
-    key, cut = fresh(docs, "row_key"), fresh(docs, "cut")
-    stay = judge(docs, id_col, text_col, host_col, least, share, depleted, min_words).where("kept").select(F.col("row_key").alias(key), F.col("cut").alias(cut))
-    rows = docs.withColumn(key, F.monotonically_increasing_id()).join(stay, key)
+    rows, key = keyed(docs, "quality-rows")
+    cut = fresh(rows, "cut")
+    found = materialise(judge(rows, id_col, text_col, host_col, limits, F.col(key)).select("row_key", "kept", "cut"), "quality-verdicts")
+    cuts = materialise(found.where("kept AND cut IS NOT NULL").select(F.col("row_key").alias(key), F.col("cut").alias(cut)), "quality-cuts")
+    rows = without_rows(rows.join(cuts, key, "left"), key, found)
+    discard(found)
 
     @F.arrow_udf("string")
     def shorten(texts: pa.Array, cuts: pa.Array) -> pa.Array:

@@ -38,11 +38,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.verdicts(load(spark, sf_dir, "documents")).drop("row_key")
+    return quality.verdicts(load(spark, sf_dir, "documents"))
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.groups(load(spark, sf_dir, "documents")).drop("row_key", "kept")
+    return ngram_join.groups(load(spark, sf_dir, "documents"))
 
 
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.dedup(load(spark, sf_dir, "documents")).drop("row_key")
+    return exact_dedup.dedup(load(spark, sf_dir, "documents"))
 
 
 def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

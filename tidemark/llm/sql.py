@@ -31,7 +31,7 @@ SQL = {
         k AS (SELECT doc_id, host, t, line, translate(array_to_string(ws, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k, len(ws) AS n FROM l WHERE len(ws) > 0),
         u AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM k GROUP BY 1),
         x AS (SELECT host, count(DISTINCT t) AS texts FROM d GROUP BY 1),
-        m AS (SELECT host, k FROM k JOIN x USING (host) GROUP BY host, k, texts HAVING count(DISTINCT t) > 100 AND count(DISTINCT t) > 0.1 * texts),
+        m AS (SELECT host, k FROM k JOIN x USING (host) GROUP BY host, k, texts HAVING count(DISTINCT t) > 5 AND (count(DISTINCT t) > 0.05 * texts OR count(DISTINCT t) > 10000)),
         o AS (SELECT doc_id, sum(n)::BIGINT AS n FROM k JOIN m USING (host, k) GROUP BY 1),
         r AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda s: length(s))), 0)::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(u.n, 0) AS n_dup_lines, coalesce(p.n, 0) AS n_repeat_words, coalesce(o.n, 0) AS lost_words
             FROM w LEFT JOIN u USING (doc_id) LEFT JOIN p USING (doc_id) LEFT JOIN o USING (doc_id))
