@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.values import bound
+
 #: The public grammars of accessions, upper case, by type.
 ACCESSIONS = {
     "bioproject_accession": r"PRJ(NA|EB|DB)\d+",
@@ -97,38 +99,31 @@ def archive(accession: Column, kind: Column) -> Column:
     )
 
 
-def _expands(pattern: str) -> Callable[[Column], Column]:
-    def test(m: Column) -> Column:
-        a, b = (F.regexp_extract(m, pattern, i).try_cast("decimal(38,0)") for i in (2, 3))
-        return (b >= a) & (b - a < LONGEST_RANGE)
-
-    return test
-
-
 def accessions(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, accession, identifier_type, archive): each accession of a text once, ranges of up to 500 written out.
+    """(key, accession, identifier_type, archive): each accession of a text once, ranges of up to 500 written out; key names a row.
 
     A range takes its accessions' zero padding from its first; a longer or falling one isn't expanded, and its ends are
-    found as single accessions.
+    found as single accessions. One scan of the texts, and no shuffle.
     """
-    rows = docs.select(F.col(key), F.col(text).alias("t"))
-    parts, masked = [], F.col("t")
+    found = lambda values, kind: F.transform(values, lambda v: F.struct(v.alias("accession"), F.lit(kind).alias("identifier_type")))
+    number = lambda c: c.try_cast("decimal(38,0)")
+    digits = lambda n: n.cast("decimal(38,0)").cast("string")
+
+    def ends(pattern: str) -> Callable[[Column], Column]:
+        at = lambda m, i: F.regexp_extract(m, pattern, i)
+        return lambda m: F.struct(m.alias("whole"), F.upper(at(m, 1)).alias("letters"), at(m, 2).alias("a"), number(at(m, 2)).alias("lo"), number(at(m, 3)).alias("hi"))
+
+    def written(m: Column) -> Column:
+        steps = F.sequence(F.lit(0), (m["hi"] - m["lo"]).cast("int"))
+        return F.transform(steps, lambda i: F.concat(m["letters"], F.lpad(digits(m["lo"] + i), F.greatest(F.length(m["a"]), F.length(digits(m["lo"] + i))), F.lit("0"))))
+
+    parts, masked = [], F.col(text)
     for kind, letters in RANGES.items():
         pattern = rf"(?i)\b({letters})(\d+)\s*[-–—]\s*(?:{letters})?(\d+)\b"
-        whole = rows.select(key, F.explode(F.regexp_extract_all("t", F.lit(pattern), F.lit(0))).alias("m"))
-        ends = whole.select(key, F.upper(F.regexp_extract("m", pattern, 1)).alias("p"), F.regexp_extract("m", pattern, 2).alias("a"), F.regexp_extract("m", pattern, 3).alias("b"))
-        lo, hi = F.expr("try_cast(a as decimal(38,0))"), F.expr("try_cast(b as decimal(38,0))")
-        fits = ends.where(lo.isNotNull() & hi.isNotNull() & (hi >= lo) & (hi - lo < LONGEST_RANGE))
-        step = F.explode(F.sequence(F.lit(0), (hi - lo).cast("int"))).alias("i")
-        each = fits.select(key, "p", "a", step).select(key, F.concat("p", F.lpad((F.expr("cast(a as decimal(38,0))") + F.col("i")).cast("string"), F.greatest(F.length("a"), F.length((F.expr("cast(a as decimal(38,0))") + F.col("i")).cast("string"))), F.lit("0"))).alias("accession"), F.lit(kind).alias("identifier_type"))
-        parts.append(each)
-        found = F.filter(F.regexp_extract_all(F.col("t"), F.lit(pattern), F.lit(0)), _expands(pattern))
-        masked = F.aggregate(found, masked, lambda acc, m: F.replace(acc, m, F.lit(" ")))
-    single = rows.select(key, masked.alias("t"))
-    for kind, pattern in IN_TEXT.items():
-        hits = single.where(F.col("t").rlike(rf"(?i)\b{pattern}\b"))
-        parts.append(hits.select(key, F.explode(F.regexp_extract_all(F.upper("t"), F.lit(rf"\b{pattern}\b"), F.lit(0))).alias("accession"), F.lit(kind).alias("identifier_type")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.distinct().withColumn("archive", archive(F.col("accession"), F.col("identifier_type")))
+        each = F.transform(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)), ends(pattern))
+        fits = F.filter(each, lambda m: (m["hi"] >= m["lo"]) & (m["hi"] - m["lo"] < LONGEST_RANGE))
+        parts.append(found(F.flatten(F.transform(fits, written)), kind))
+        masked = F.aggregate(fits, masked, lambda acc, m: F.replace(acc, m["whole"], F.lit(" ")))
+    single = bound(F.upper(masked), lambda t: F.flatten(F.array(*(found(F.regexp_extract_all(t, F.lit(rf"\b{p}\b"), F.lit(0)), kind) for kind, p in IN_TEXT.items()))))
+    each = docs.select(key, F.explode(F.array_distinct(F.concat(*parts, single))).alias("f")).select(key, "f.accession", "f.identifier_type")
+    return each.withColumn("archive", archive(F.col("accession"), F.col("identifier_type")))

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+
+def first_of(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """The first row of each key in order, combined before the shuffle; the order is to settle ties."""
+    rest = [c for c in rows.columns if c not in by]
+    return rows.groupBy(*by).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_r")).select(*by, *(F.col("_r")[c].alias(c) for c in rest)).select(*rows.columns)
 
 
 def first_accepted(facts: DataFrame, *by: str, order: tuple[str, ...] = ("created_at", "fact_id"), status: str | None = "review_status") -> DataFrame:
     """The oldest non-rejected fact of each key; equal times are settled by the fact's id."""
-    rows = facts.where(F.col(status) != "rejected") if status else facts
-    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where("_n = 1").drop("_n")
+    return first_of(facts.where(F.col(status) != "rejected") if status else facts, list(by), list(order))
 
 
 def joined_distinct(rows: DataFrame, by: list[str], value: str, order: list[str], sep: str = " | ", name: str = "joined") -> DataFrame:
@@ -39,7 +43,7 @@ def one_many_none(rows: DataFrame, by: list[str], candidate: str) -> DataFrame:
 def insert_absent(existing: DataFrame, new: DataFrame, by: list[str], order: list[str]) -> DataFrame:
     """existing, and the first new row of every natural key that it lacks; rows with a null in their key are always added."""
     null_key = F.greatest(*(F.col(k).isNull().cast("int") for k in by), F.lit(0)) == 1
-    firsts = new.where(~null_key).withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where("_n = 1").drop("_n")
+    firsts = first_of(new.where(~null_key), by, order)
     return existing.unionByName(firsts.join(existing.select(*by), by, "left_anti")).unionByName(new.where(null_key))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from tidemark.functions.values import some, squeezed
 from tidemark.operators.predicates import absent, quoted
-from tidemark.shared import ship
+from tidemark.shared import materialise, ship
 
 
 class Backend(ABC):
@@ -79,9 +79,10 @@ FACTS = "section_id string, fact_type string, value string, evidence_ids array<s
 
 
 def segmented(sections: DataFrame, key: str, parts: Column) -> DataFrame:
-    """(key, segment_id, text): the parts of a section as <key>.P001, <key>.P002, ..."""
+    """(key, segment_id, text): the parts of a section as <key>.P001, <key>.P002, ...; numbers above 999 are longer."""
     rows = sections.select(key, F.posexplode(parts).alias("pos", "text"))
-    return rows.select(key, F.concat(F.col(key).cast("string"), F.lit(".P"), F.lpad((F.col("pos") + 1).cast("string"), 3, "0")).alias("segment_id"), "text")
+    number = (F.col("pos") + 1).cast("string")
+    return rows.select(key, F.concat(F.col(key).cast("string"), F.lit(".P"), F.lpad(number, F.greatest(F.lit(3), F.length(number)), F.lit("0"))).alias("segment_id"), "text")
 
 
 def ask(prompts: DataFrame, backend: Backend) -> DataFrame:
@@ -112,10 +113,12 @@ def verified(facts: DataFrame, segments: DataFrame, allowed: list[str]) -> DataF
 
 
 def extract(sections: DataFrame, parts: Column, backend: Backend, allowed: list[str], question: str) -> DataFrame:
-    """Verified facts of every section (section_id); sections for which the first pass gives none are asked once more."""
+    """Verified facts of every section (section_id); sections for which the first pass gives none are asked once more. The first
+    pass is written, so no section is asked twice for it, and both branches see one answer."""
     segments = segmented(sections, "section_id", parts)
     body = segments.groupBy("section_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("segment_id", "text"))), lambda s: F.concat(s["segment_id"], F.lit(": "), s["text"])), "\n").alias("body"))
-    first = verified(ask(body.select("section_id", F.concat(F.lit(f"{question}\n"), "body").alias("prompt")), backend), segments, allowed)
+    answers = materialise(ask(body.select("section_id", F.concat(F.lit(f"{question}\n"), "body").alias("prompt")), backend), "model-answers")
+    first = verified(answers, segments, allowed)
     rest = body.withColumn("section_id", F.col("section_id").cast("string")).join(first.select("section_id").distinct(), "section_id", "left_anti")
     again = verified(ask(rest.select("section_id", F.concat(F.lit(f"[recall] {question}\n"), "body").alias("prompt")), backend), segments, allowed)
     return first.unionByName(again)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions import values as V
-from tidemark.keys import joined_distinct
 
 #: Rule transforms by name; add to it to extend the rule table.
 TRANSFORMS: dict[str, object] = {
@@ -60,17 +59,18 @@ def without_replaced(facts: DataFrame, normalised: DataFrame) -> DataFrame:
 
 
 def winners(mapped: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """The oldest value of each target; a later different one asks for review."""
-    w = Window.partitionBy(*key)
-    rows = mapped.withColumn("_n", F.row_number().over(w.orderBy(*order))).withColumn("_lo", F.min("value").over(w)).withColumn("_hi", F.max("value").over(w))
-    return rows.where("_n = 1").withColumn("review_required", F.col("review_required") | (F.col("_lo") != F.col("_hi"))).drop("_n", "_lo", "_hi")
+    """The oldest value of each target; a later different one asks for review. One aggregate, combined before the shuffle."""
+    rest = [c for c in mapped.columns if c not in key]
+    g = mapped.groupBy(*key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_w"), (F.min("value") != F.max("value")).alias("_differ"))
+    return g.select(*key, *(F.col("_w")[c].alias(c) if c != "review_required" else (F.col("_w")[c] | F.col("_differ")).alias(c) for c in rest)).select(*mapped.columns)
 
 
 def piped(mapped: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """Fields that keep every distinct value, structured sources first; "not found" goes if there is anything else."""
-    real = mapped.withColumn("_nf", (F.lower("value") == "not found").cast("int"))
-    rows = real.withColumn("_least", F.min("_nf").over(Window.partitionBy(*key))).where(F.col("_nf") <= F.col("_least"))
-    return joined_distinct(rows, key, "value", order, name="value")
+    first = mapped.where("value IS NOT NULL").groupBy(*key, F.lower("value").alias("_k")).agg(F.min(F.struct(*order, F.col("value").alias("_v"))).alias("_f"))
+    all_ = first.groupBy(*key).agg(F.array_sort(F.collect_list("_f")).alias("_fs"))
+    real = F.filter("_fs", lambda f: F.lower(f["_v"]) != "not found")
+    return all_.select(*key, F.array_join(F.transform(F.when(F.size(real) > 0, real).otherwise(F.col("_fs")), lambda f: f["_v"]), " | ").alias("value"))
 
 
 def with_units(values: DataFrame, units: DataFrame) -> DataFrame:

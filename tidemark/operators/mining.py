@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import identifiers as I
-from tidemark.operators.texts import term_pattern
 
 #: Patterns of dataset identifiers by pass; a later pass is only tried on texts in which the earlier found nothing.
 PASSES = (
@@ -17,27 +16,15 @@ PASSES = (
 
 
 def staged(docs: DataFrame, key: str, text: str, passes: tuple = PASSES) -> DataFrame:
-    """(key, identifier_type, value, pass): identifiers of the first pass that finds any in a text."""
-    hits = None
-    for n, patterns in enumerate(passes, 1):
-        for kind, p in patterns:
-            each = docs.select(F.col(key), F.explode(F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(rf"(?i)\b({p})"), F.lit(1)))).alias("v"))
-            got = each.select(key, F.lit(kind).alias("identifier_type"), F.regexp_replace("v", r"[.,;:]+$", "").alias("value"), F.lit(n).alias("pass"))
-            hits = got if hits is None else hits.unionByName(got)
-    first = hits.groupBy(key).agg(F.min("pass").alias("pass"))
-    return hits.join(first, [key, "pass"]).distinct().select(key, "identifier_type", "value", "pass")
-
-
-def techniques(sentences: DataFrame, key: str, names: dict[str, str], inside: Column) -> DataFrame:
-    """(key, technique, pos): the first sentence of each technique in a text's method sections. names: canonical name to a
-    pattern; a dictionary doesn't grow with the data."""
-    found = F.array(*(F.when(F.col("sentence").rlike(p), F.lit(n)) for n, p in names.items()))
-    each = sentences.where(inside).select(key, "pos", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("technique"))
-    return each.groupBy(key, "technique").agg(F.min("pos").alias("pos"))
-
-
-def technique_patterns(terms: list[str]) -> dict[str, str]:
-    return {t: term_pattern(t) for t in terms}
+    """(key, identifier_type, value, pass): identifiers of the first pass that finds any in a text; key names a row. One scan."""
+
+    def of(kind: str, p: str, n: int) -> Column:
+        hits = F.regexp_extract_all(F.col(text), F.lit(rf"(?i)\b({p})"), F.lit(1))
+        return F.transform(hits, lambda v: F.struct(F.lit(kind).alias("identifier_type"), F.regexp_replace(v, r"[.,;:]+$", "").alias("value"), F.lit(n).alias("pass")))
+
+    found = [F.concat(*(of(kind, p, n) for kind, p in patterns)) for n, patterns in enumerate(passes, 1)]
+    first = F.coalesce(*(F.when(F.size(f) > 0, f) for f in found))
+    return docs.select(key, F.explode(F.array_distinct(first)).alias("f")).select(key, "f.*")
 
 
 def only_related(edges: DataFrame, kind: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.values import NUCLEOTIDES, contains_any, doi_like, squeezed
+from tidemark.functions.values import NUCLEOTIDES, bound, contains_any, doi_like, squeezed
 
 
 def marine(texts: list[Column], accepted: tuple[str, ...], rejected: tuple[str, ...]) -> Column:
@@ -80,7 +80,20 @@ def absent(value: Column) -> Column:
 
 def quoted(quote: Column, text: Column) -> Column:
     """The quote stands in the text, white space aside; a blank quote never does."""
-    return F.coalesce((F.length(squeezed(quote)) > 0) & F.contains(squeezed(text), squeezed(quote)), F.lit(False))
+    return F.coalesce(bound(squeezed(quote), lambda q: F.when(q != "", F.contains(squeezed(text), q))), F.lit(False))
+
+
+# Facts whose value must be a sequence, and those whose volume must stand in the quote.
+SEQUENCES = ("forward_primer_sequence", "reverse_primer_sequence")
+VOLUMES = ("pcr_reaction_volume", "template_dna_volume", "second_pcr_reaction_volume", "second_pcr_template_dna_volume")
+
+
+def supported(kind: Column, value: Column, quote: Column) -> Column:
+    """Whether a quote bears a fact's value out: a primer's sequence is one (six IUPAC letters or more), and a volume stands in
+    the quote as it is written, thin spaces and both micro signs aside. Other facts are."""
+    plain = lambda c: squeezed(F.lower(F.translate(c, "\u2009\u202fµμ", "  uu")))
+    sequence = F.trim(value).rlike(NUCLEOTIDES) & (F.length(F.trim(value)) >= 6)
+    return F.when(kind.isin(*SEQUENCES), sequence).when(kind.isin(*VOLUMES), F.contains(plain(quote), plain(value))).otherwise(True)
 
 
 def evidence_ok(support: Column, quote: Column, locator: Column) -> Column:

@@ -91,8 +91,10 @@ def paper_seeds(mgnify: DataFrame, ena: DataFrame, candidates_m: DataFrame, cand
 
 def ingest(seeds: DataFrame, excluded: DataFrame, known: DataFrame) -> DataFrame:
     """(seed_id, study_id): seeds that aren't excluded, with the known study of one of their identifiers, else a new one; seeds
-    of one batch that share an identifier become one study. seeds: seed_id, type, value; known: type, value, study_id."""
-    rows = seeds.join(excluded.select(F.lit("doi").alias("type"), F.col("doi").alias("value")), ["type", "value"], "left_anti")
+    of one batch that share an identifier become one study. A seed with an excluded DOI goes with all its identifiers. seeds:
+    seed_id, type, value; known: type, value, study_id."""
+    out = seeds.join(excluded.select(F.lit("doi").alias("type"), F.col("doi").alias("value")), ["type", "value"], "left_semi").select("seed_id").distinct()
+    rows = seeds.join(out, "seed_id", "left_anti")
     heads = rows.groupBy("type", "value").agg(F.min("seed_id").alias("b"))
     labels = components(rows.join(heads, ["type", "value"]).select(F.col("seed_id").alias("a"), "b"))
     groups = rows.join(labels, rows.seed_id == labels.node, "left").withColumn("group", F.coalesce("label", "seed_id"))

@@ -68,15 +68,15 @@ def runs_to_studies(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("p19_seed_ingest", """
-    WITH RECURSIVE s AS (SELECT l_linenumber::BIGINT * 1000000 + l_orderkey AS seed_id, 'acc' AS type, concat('A', l_orderkey) AS value FROM lineitem UNION ALL SELECT l_linenumber::BIGINT * 1000000 + l_orderkey, 'doi', concat('10.1/', l_orderkey, '-', l_linenumber) FROM lineitem),
+    WITH l AS (SELECT l_linenumber::BIGINT * 1000000 + l_orderkey AS seed_id, concat('A', l_orderkey) AS value FROM lineitem WHERE NOT (l_linenumber % 3 = 1 AND l_orderkey % 5 < 2)),
     k AS (SELECT concat('A', o_orderkey) AS value, concat('STUDY-', o_orderkey) AS study_id FROM orders WHERE o_orderstatus = 'F')
-    SELECT DISTINCT seed_id, coalesce(k.study_id, concat('NEW-', min(seed_id) OVER (PARTITION BY value))) AS study_id FROM s LEFT JOIN k USING (value) WHERE type = 'acc'""")
+    SELECT DISTINCT seed_id, coalesce(k.study_id, concat('NEW-', min(seed_id) OVER (PARTITION BY value))) AS study_id FROM l LEFT JOIN k USING (value)""")
 def seed_ingest(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem")
-    seed = "CAST(l_linenumber AS BIGINT) * 1000000 + l_orderkey AS seed_id"
-    seeds = li.selectExpr(seed, "'acc' AS type", "concat('A', CAST(l_orderkey AS STRING)) AS value").unionByName(li.selectExpr(seed, "'doi' AS type", "concat('10.1/', CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS value"))
+    seed, doi = "CAST(l_linenumber AS BIGINT) * 1000000 + l_orderkey AS seed_id", "concat('10.1/', CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING))"
+    seeds = li.selectExpr(seed, "'acc' AS type", "concat('A', CAST(l_orderkey AS STRING)) AS value").unionByName(li.selectExpr(seed, "'doi' AS type", f"{doi} AS value"))
     known = table(spark, sf, "orders").where("o_orderstatus = 'F'").selectExpr("'acc' AS type", "concat('A', CAST(o_orderkey AS STRING)) AS value", "concat('STUDY-', CAST(o_orderkey AS STRING)) AS study_id")
-    return S.ingest(seeds, spark.createDataFrame([("10.1/none",)], "doi string"), known)
+    return S.ingest(seeds, li.where("l_linenumber % 3 = 1 AND l_orderkey % 5 < 2").selectExpr(f"{doi} AS doi"), known)
 
 
 def facts(spark: SparkSession, sf: str) -> DataFrame:

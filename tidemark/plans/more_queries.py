@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog import query, table
-from tidemark.operators import checks, mapping as M, mining, predicates as P, seeds as S, texts as X
+from tidemark.operators import checks, mapping as M, mining, predicates as P, seeds as S
 
 
 @query("x4_staged_identifiers", "SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'bioproject_accession' WHEN 1 THEN 'dataset_doi' WHEN 2 THEN 'repository_url' END AS identifier_type, CASE o_orderkey % 4 WHEN 0 THEN concat('PRJNA', o_orderkey) WHEN 1 THEN concat('10.5281/zenodo.', o_orderkey) ELSE concat('https://osf.io/', o_orderkey) END AS value, o_orderkey % 4 + 1 AS pass FROM orders WHERE o_orderkey % 4 < 3")
@@ -15,14 +15,6 @@ def staged(spark: SparkSession, sf: str) -> DataFrame:
     return mining.staged(table(spark, sf, "orders").select("o_orderkey", t.alias("t")), "o_orderkey", "t").withColumn("pass", F.col("pass").cast("long"))
 
 
-@query("x12_techniques", """
-    WITH s AS (SELECT doc_id, string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(10), 'g'), chr(10)) AS a FROM documents), e AS (SELECT doc_id, trim(unnest(a)) AS s, generate_subscripts(a, 1) AS i FROM s), k AS (SELECT doc_id, s, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS pos FROM e WHERE s <> '')
-    SELECT doc_id, t.technique, min(pos) AS pos FROM k, (VALUES ('public license', '(?i)\\bpublic\\s+license\\b'), ('version', '(?i)\\bversion\\b'), ('the', '(?i)(?:^|[^A-Za-z0-9])the(?:$|[^A-Za-z0-9])')) t(technique, p) WHERE regexp_matches(s, p) GROUP BY 1, 2""")
-def techniques(spark: SparkSession, sf: str) -> DataFrame:
-    s = X.posexploded(table(spark, sf, "documents"), "doc_id", X.sentences(F.col("text")), "sentence")
-    return mining.techniques(s, "doc_id", mining.technique_patterns(["public license", "version", "the"]), F.lit(True))
-
-
 @query("j4_only_related", "SELECT l_orderkey AS from_id, CASE WHEN count(DISTINCT l_suppkey) = 1 THEN min(l_suppkey) END AS to_id, count(DISTINCT l_suppkey) > 1 AS ambiguous FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1")
 def only_related(spark: SparkSession, sf: str) -> DataFrame:
     return mining.only_related(table(spark, sf, "lineitem").selectExpr("l_orderkey AS from_id", "l_suppkey AS to_id", "l_returnflag AS kind"), "R")

@@ -77,14 +77,6 @@ def leaves(body: Column) -> Column:
     return F.pandas_udf(of, "array<struct<key:string,path:string,value:string>>")(body)
 
 
-def repaired(body: Column) -> Column:
-    """A model's JSON answer without code fences; the complete objects of a cut-off array; null if nothing can be read."""
-    bare = F.trim(F.regexp_replace(F.regexp_replace(F.trim(body), r"^```[a-zA-Z]*\s*", ""), r"\s*```$", ""))
-    whole = F.try_parse_json(bare)
-    cut = F.concat(F.regexp_extract(bare, r"(?s)^(.*\})", 1), F.lit("]"))
-    return F.when(whole.isNotNull(), bare).when(bare.startswith("[") & F.try_parse_json(cut).isNotNull(), cut)
-
-
 class PageReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.paths = [p for p in options.get("paths", "").split(",") if p]

@@ -71,24 +71,36 @@ def docx_text(data: bytes) -> str:
     return "\n".join("".join(t.text or "" for t in p.iter(f"{w}t")) for p in root.iter(f"{w}p"))
 
 
-def members(name: str, data: bytes, most: int = MOST_BYTES) -> Iterator[tuple[str, bytes]]:
-    """The file itself, or a ZIP's members within the cap by declared and by actual size; nested archives are skipped."""
+class Skipped(str):
+    """Why a member isn't read."""
+
+
+def members(name: str, data: bytes, most: int = MOST_BYTES) -> Iterator[tuple[str, bytes | Skipped]]:
+    """The file itself, or a ZIP's members within the cap by declared and by actual size. Larger ones and nested archives come
+    as Skipped, so that none goes unseen."""
     if not name.lower().endswith(".zip"):
         yield name, data
         return
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         for info in z.infolist():
-            if info.is_dir() or info.file_size > most or info.filename.lower().endswith((".zip", ".gz", ".tar", ".7z", ".rar")):
+            if info.is_dir():
+                continue
+            if info.filename.lower().endswith((".zip", ".gz", ".tar", ".7z", ".rar")):
+                yield info.filename, Skipped("nested")
+                continue
+            if info.file_size > most:
+                yield info.filename, Skipped("too_large")
                 continue
             with z.open(info) as f:
                 part = f.read(most + 1)
-            if len(part) <= most:
-                yield info.filename, part
+            yield info.filename, part if len(part) <= most else Skipped("too_large")
 
 
-def parsed(name: str, data: bytes) -> Iterator[tuple[int, str, str, str]]:
+def parsed(name: str, data: bytes | Skipped) -> Iterator[tuple[int, str, str, str]]:
     low = name.lower()
-    if low.endswith((".csv", ".tsv", ".txt")):
+    if isinstance(data, Skipped):
+        yield 0, "skipped", "", str(data)
+    elif low.endswith((".csv", ".tsv", ".txt")):
         text = decoded(data)
         yield from delimited(text, "\t" if low.endswith(".tsv") or text.count("\t") > text.count(",") else ",")
     elif low.endswith(".json"):
@@ -104,7 +116,7 @@ def parsed(name: str, data: bytes) -> Iterator[tuple[int, str, str, str]]:
 
 def cells(files: DataFrame) -> DataFrame:
     """(path, member, row, field, locator, value) of binaryFile rows; a file that can't be read gives one row with the field
-    "unreadable" and the error's kind as its value."""
+    "unreadable" and the error's kind as its value, and a member that isn't read one with "skipped" and why."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
