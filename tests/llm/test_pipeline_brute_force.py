@@ -102,6 +102,5 @@ def test_pipeline_equals_brute_force(spark):
         sizes.append(len(rows))
     assert sizes[0] > sizes[1] > sizes[2] > sizes[3] == sizes[4] > 0
     tk = Tokenizer.from_str(WORDS)
-    tk.encode_special_tokens = True
     want = {d: np.array([*tk.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes() for d, t, *_ in rows}
     assert packed(corpus_pipeline.run(spark, folder).collect()) == want

@@ -38,7 +38,9 @@ class WordBpe:
 
     Words of ASCII and Latin-1 letters are merged by tiktoken's routine over the file's own merge order; all others go
     through the tokenizers library. Both see one stretch between white space at a time, which that kind of file never
-    merges across. `most` bounds the words that are remembered.
+    merges across. The file's added tokens are ids of their own wherever a text holds them, as the library reads them; a file
+    whose added tokens need more than their own letters to be found goes through the library as a whole. `most` bounds the
+    words that are remembered.
     """
 
     def __init__(self, data: str, most: int = 400_000) -> None:
@@ -47,8 +49,11 @@ class WordBpe:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_str(data)
-        self.whole.encode_special_tokens = True
         spec = json.loads(data)
+        added = {x["content"].encode(): x["id"] for x in spec["added_tokens"]}
+        self.simple = not any(x[k] for x in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized"))
+        self.added = {k: np.array([v], dtype="<u4").tobytes() for k, v in added.items()}
+        self.cut = regex.compile(b"(" + b"|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + b")").split if added else None
         of = byte_letters()
         end = spec["model"]["end_of_word_suffix"]
         special = {x["content"] for x in spec["added_tokens"]}
@@ -71,7 +76,7 @@ class WordBpe:
             ids = self.whole.encode(s, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def encode(self, text: bytes) -> bytes:
+    def words(self, text: bytes) -> bytes:
         if len(self.known) > self.most:
             self.known.clear()
         known, out = self.known, []
@@ -84,6 +89,13 @@ class WordBpe:
             out.append(x)
         return b"".join(out)
 
+    def encode(self, text: bytes) -> bytes:
+        if not self.simple:
+            return np.array(self.whole.encode(text.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if any(k in text for k in self.added):
+            return b"".join(self.added.get(part) or self.words(part) for part in self.cut(text))
+        return self.words(text)
+
 
 def word_bpe(data: str) -> WordBpe:
     import hashlib
@@ -128,7 +140,8 @@ def plan(lengths: list[int], limit: int = 4096, linear: float = 1.0, quadratic:
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, limit: int = 4096, window: int = 1 << 20, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Pieces: the id, start, length, ids_crc32, doc_tokens, sequence_id, offset; with_ids adds their ids (binary).
 
-    tokenizer is the content of a tokenizers file; end_id is appended to each document. A null or empty text is a document
+    tokenizer is the content of a tokenizers file, whose ids are those of the library without adding special tokens (those that
+    a text itself holds are kept); end_id is appended to each document. A null or empty text is a document
     of that one token. Repeated rows are packed each. sequence_id is unique over the table (partition and number in it);
     offsets in a sequence are gapless from 0. A window holds `window` tokens, more only to end a document, so memory is
     bounded by the longest document. An empty table gives no rows.

@@ -10,24 +10,26 @@ from tidemark.llm.common import materialise, text_of
 
 
 def _before(counts: DataFrame, by: list[str], cell: str) -> DataFrame:
-    """Rows in earlier cells of the same stratum, and the stratum's rows. A stratum has a fixed number of cells at most."""
+    """Rows in earlier cells of the same stratum, and the stratum's rows. A stratum has `cells` cells at most."""
     order = Window.partitionBy(*by).orderBy(cell) if by else Window.orderBy(cell)
     whole = Window.partitionBy(*by) if by else Window.partitionBy()
     return counts.select(*by, cell, (F.sum("n").over(order) - F.col("n")).alias("before"), F.sum("n").over(whole).alias("total"))
 
 
-def interleave(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17, cells: int = 1024) -> DataFrame:
+def interleave(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17, cell_rows: int = 50_000) -> DataFrame:
     """One row per input row: the id, size, text_crc32, law, shard, slot, grown_shard.
 
     Within each source rows are ranked in the order of a seeded hash of the id; all rows are then sorted by their
     fractional rank, and the sorted rows are cut into shards whose counts differ by one at most, so every shard holds each
     source in its overall proportion. Both ranks are taken in cells: a row's rank is the count of rows in earlier cells and
-    its rank in its own, so a source with a third of all rows is spread over `cells` tasks.
+    its rank in its own, so a source with a third of all rows is spread over all cells. There are 1024 cells at least, and more as
+    soon as one would hold over cell_rows of all rows on average; only the cells' counts are summed up in one place.
 
     size is the UTF-8 length of the text plus one (null text: 1), text_crc32 the unsigned CRC-32 of its UTF-8 bytes (null:
     of none). A null source is a source of its own; repeated rows and rows that tie get different slots; a null id is
     hashed as such. An empty table gives no rows; further columns are left out.
     """
+    cells = max(1024, -(-docs.count() // cell_rows))
     data = F.encode(text_of(text_col), "UTF-8")
     h = F.xxhash64(F.lit(seed), F.col(id_col))
     rows = docs.select(

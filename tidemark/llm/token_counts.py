@@ -15,8 +15,8 @@ from tidemark.llm.bpe import encoder
 from tidemark.llm.common import scratch, small_batches, text_of
 
 
-def write_token_files(docs: DataFrame, ranks: bytes, pattern: str, separator: int, path: str, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = 1 << 16) -> None:
-    """Encode texts into flat streams of 16-bit ids, each document ended by `separator`, cut into blocks of a fixed size.
+def write_token_files(docs: DataFrame, ranks: bytes, pattern: str, separator: int, path: str, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = 1 << 16, dtype: str = "<u2") -> None:
+    """Encode texts into flat streams of ids (dtype: little-endian, unsigned, wide enough for all), each document ended by `separator`, cut into blocks of a fixed size.
 
     A partition is one file. Blocks (file, block, data, labels) don't follow documents; labels are the ids of the documents
     that end in the block, in their order, and aren't used to find them. A null text is a document without tokens.
@@ -35,7 +35,7 @@ def write_token_files(docs: DataFrame, ranks: bytes, pattern: str, separator: in
 
         def cut(least: int) -> Iterator[pa.RecordBatch]:
             nonlocal held, size, labels, block
-            flat = np.concatenate(held) if held else np.zeros(0, "<u2")
+            flat = np.concatenate(held) if held else np.zeros(0, dtype)
             at = 0
             while len(flat) - at >= least:
                 part = flat[at : at + block_tokens]
@@ -47,7 +47,7 @@ def write_token_files(docs: DataFrame, ranks: bytes, pattern: str, separator: in
         for b in batches:
             id_type = b.column(0).type
             for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                held.append(np.array([*enc.encode_ordinary(text), separator], dtype="<u2"))
+                held.append(np.array([*enc.encode_ordinary(text), separator], dtype=dtype))
                 labels.append(key)
                 size += len(held[-1])
                 if size >= block_tokens:
@@ -106,7 +106,8 @@ def token_counts(docs: DataFrame, ranks: bytes, pattern: str, separator: int, id
     spark = docs.sparkSession
     path = scratch(spark, "token-files")
     small_batches(spark, 256)  # of texts, and of blocks of 128 KB
-    write_token_files(docs, ranks, pattern, separator, path, id_col, text_col)
+    dtype = "<u2" if max(separator, ranks.count(b"\n")) < 1 << 16 else "<u4"  # a rank file has a line an id
+    write_token_files(docs, ranks, pattern, separator, path, id_col, text_col, dtype=dtype)
     kind = docs.schema[id_col].dataType.simpleString()
-    found = separator_scan(spark.read.schema(f"file long, block long, data binary, labels array<{kind}>").parquet(path), separator)
+    found = separator_scan(spark.read.schema(f"file long, block long, data binary, labels array<{kind}>").parquet(path), separator, dtype)
     return found.select(F.explode(F.arrays_zip("labels", "lengths")).alias("d")).select(F.col("d.labels").alias(id_col), F.col("d.lengths").alias("n_tokens"))
