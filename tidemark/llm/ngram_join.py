@@ -7,10 +7,10 @@ In that order frequent n-grams come last, so a passage that many documents share
 links; how frequent n-grams are only decides the cost. The boundary is the size at which enumerating a set begins to cost
 more than its entries in lists.
 
-A list is split where its members' sizes leave a gap that no link crosses. Lists name candidates only. They are resolved in
-rounds: each set is compared with the list head that it meets most often, first by a parity sketch, which rules links out and
-never in, then by text; links are joined to groups, and lists whose members are all in one group are done. Lists that stay open
-are compared in full within bounded tiles. Every link follows from the texts themselves. Each table in the shared folder goes
+A list is split where its members' sizes leave a gap that no link crosses, and members leave it that parity sketches, which rule
+links out and never in, leave no partner in it. Lists name candidates only. They are resolved in rounds: each set is compared
+with the list head that it meets most often, by sketch and then by text; links are joined to groups, and lists whose members are
+all in one group are done. Lists that stay open are compared in full within bounded tiles. Every link follows from the texts themselves. Each table in the shared folder goes
 once its successor is written.
 """
 
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import discard, keyed, materialise, small_batches, without_rows
-from tidemark.llm.words import M3, gram_sets, mixed
+from tidemark.llm.words import M3, flat, gram_sets, mixed
 from tidemark.operators.graph import components
 
 
@@ -138,12 +138,26 @@ def survey(rows: DataFrame, size: int, flush: int = 4_000_000, least: int = 2) -
 
 
 def frequent_grams(surveyed: DataFrame, most: int = 1 << 17) -> tuple[np.ndarray, np.ndarray]:
-    """The `most` n-grams that stand in the most distinct sets, sorted, and their places by that number: a bounded list."""
-    counts = surveyed.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("times").alias("n"))
-    top = counts.orderBy(F.desc("n"), "gram").limit(most).toPandas()
-    grams = top["gram"].to_numpy(np.int64).view(np.uint64)
+    """The n-grams that stand in the most distinct sets, sorted, and their places by that number: `most` at most, cut where 16
+    steps to a doubling of the number allow, so only the steps' counts and the list itself reach the driver."""
+    counts = surveyed.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("times").alias("n")).withColumn("step", F.floor(16 * F.log2("n")).cast("int"))
+    counts = materialise(counts, "ngram-counts")
+    room, cut = most, None
+    for r in counts.groupBy("step").agg(F.count("*").alias("k")).orderBy(F.desc("step")).collect():  # 16 rows to a doubling
+        room -= r["k"]
+        if room < 0:
+            break
+        cut = r["step"]
+    top = counts.where(F.col("step") >= cut).select("gram", "n").toPandas() if cut is not None else None
+    discard(counts)
+    if top is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    grams, n = top["gram"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
+    order = np.lexsort((grams, -n))
+    place = np.empty(len(grams), np.int64)
+    place[order] = np.arange(len(grams))[::-1]
     order = np.argsort(grams)
-    return grams[order], len(grams) - 1 - order
+    return grams[order], place[order]
 
 
 def clashes(surveyed: DataFrame) -> list[int]:
@@ -332,47 +346,85 @@ def compared(pairs: DataFrame, first: DataFrame, rows: DataFrame, percent: int,
 
 
 class Marks:
-    """The sketches of sets in order of size, as a matrix for each width; the wider ones also folded to the next width below."""
-
-    def __init__(self, sizes: list[int], marks: list[bytes], percent: int) -> None:
-        n = np.array(sizes, np.int64)
-        self.percent, self.order = percent, np.argsort(n, kind="stable")  # so that a set meets only larger ones, in a range of sizes
-        self.n = n[self.order]
-        self.words = np.array([len(marks[i]) // 8 for i in self.order], np.int64)
-        self.rows = [np.frombuffer(marks[i], np.uint64) for i in self.order]
-
-    def stacked(self, start: int, end: int, words: int) -> np.ndarray:
-        """Sketches start to end, folded to this width."""
-        parts = []
-        while start < end:
-            wide = int(self.words[start])
-            stop = min(end, int(np.searchsorted(self.words, wide, "right")))
-            m = np.concatenate(self.rows[start:stop]).reshape(stop - start, wide // words, words)
-            parts.append(m[:, 0] if wide == words else np.bitwise_xor.reduce(m, axis=1))
-            start = stop
-        return np.concatenate(parts)
-
-    def candidates(self, block: int = 256) -> Iterator[tuple[int, np.ndarray]]:
-        """Each set's number, and those of the sets not before it that a link isn't ruled out with."""
-        n, percent = self.n, self.percent
-        ends = np.searchsorted(n, n * 100 // percent, "right")
-        for start in range(0, len(n), block):
-            for lo, hi in ((a, b) for a, b in self.runs(start, min(start + block, len(n)))):
-                words, last = int(self.words[lo]), int(ends[hi - 1])
-                if last <= lo + 1:
-                    continue
-                rest = self.stacked(lo, last, words)
-                for i in range(lo, hi):
-                    far = np.bitwise_count(rest[i - lo + 1 : ends[i] - lo] ^ rest[i - lo]).sum(1, dtype=np.int64)
-                    near = np.flatnonzero((100 + percent) * far <= (100 - percent) * (n[i] + n[i + 1 : ends[i]]))
-                    if len(near):
-                        yield int(self.order[i]), self.order[i + 1 + near]
+    """Sets by size, with their sketches: which pairs of them a link isn't ruled out for."""
+
+    def __init__(self, sizes: np.ndarray, marks: pa.Array | list[bytes], percent: int) -> None:
+        self.n, self.percent = np.asarray(sizes, np.int64), percent
+        self.data, at = flat(marks if isinstance(marks, pa.Array) else pa.array(marks, pa.binary()))
+        self.start, self.width = at[:-1], np.diff(at) // 8
+
+    def rows(self, at: np.ndarray, words: int) -> np.ndarray:
+        """The sketches of these sets, of one width, folded to `words` words."""
+        wide = int(self.width[at[0]])
+        m = self.data[self.start[at][:, None] + np.arange(8 * wide)].view(np.uint64)
+        return m if wide == words else np.bitwise_xor.reduce(m.reshape(len(at), wide // words, words), axis=1)
+
+    def possible(self, a: np.ndarray, b: np.ndarray, block: int = 1 << 16) -> np.ndarray:
+        """Which pairs (a, b) may link."""
+        n, p = self.n, self.percent
+        a, b = np.where(n[a] <= n[b], a, b), np.where(n[a] <= n[b], b, a)
+        ok = 100 * n[a] >= p * n[b]
+        kinds = self.width[a] * (1 << 32) + self.width[b]
+        for kind in np.unique(kinds[ok]):
+            words = int(min(kind >> 32, kind & 0xFFFFFFFF))
+            of_kind = np.flatnonzero(ok & (kinds == kind))
+            step = max(1, block // words)
+            for i in range(0, len(of_kind), step):
+                at = of_kind[i : i + step]
+                far = np.bitwise_count(self.rows(a[at], words) ^ self.rows(b[at], words)).sum(1, dtype=np.int64)
+                ok[at] = (100 + p) * far <= (100 - p) * (n[a[at]] + n[b[at]])
+        return ok
+
+    def candidates(self, members: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Each of these sets, and those of them no smaller that may link with it."""
+        order = members[np.argsort(self.n[members], kind="stable")]
+        n = self.n[order]
+        ends = np.searchsorted(n, n * 100 // self.percent, "right")
+        for i, end in enumerate(ends):
+            others = order[i + 1 : end]
+            if len(others):
+                others = others[self.possible(np.full(len(others), order[i]), others)]
+                if len(others):
+                    yield int(order[i]), others
+
+
+def unit_rows(units: np.ndarray) -> dict[int, np.ndarray]:
+    """Of rows by unit: for each size that a unit has, a matrix of the rows of those units."""
+    order = np.argsort(units, kind="stable")
+    starts = np.flatnonzero(np.concatenate([[True], units[order][1:] != units[order][:-1]])) if len(units) else np.zeros(0, np.int64)
+    sizes = np.diff(starts, append=len(units))
+    return {int(k): order[starts[sizes == k][:, None] + np.arange(k)] for k in np.unique(sizes)}
+
+
+def hopeful(members: DataFrame, sketches: DataFrame, percent: int, tile: int = 4096, task_rows: int = 20_000, short: int = 32) -> DataFrame:
+    """The rows (unit, node, label) of units (with total) whose node has a possible partner with another label there, by the
+    sketches. Units are compared in tiles; in short ones all pairs are told at once."""
+
+    def test(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        labels = group.column("label").to_numpy()
+        marks = Marks(group.column("n").to_numpy(), group.column("s").chunk(0), percent) if group.num_rows else None
+        keep = np.zeros(group.num_rows, bool)
+        for k, rows in unit_rows(group.column("unit").to_numpy()).items():
+            if k == 1:
+                continue
+            if k <= short:
+                i, j = np.triu_indices(k, 1)
+                a, b = rows[:, i].ravel(), rows[:, j].ravel()
+                told = labels[a] != labels[b]
+                a, b = a[told], b[told]
+                ok = marks.possible(a, b)
+                keep[a[ok]] = keep[b[ok]] = True
+                continue
+            for unit in rows:
+                for i, found in marks.candidates(unit):
+                    other = found[labels[found] != labels[i]]
+                    if len(other):
+                        keep[i] = True
+                        keep[other] = True
+        return group.select(["unit", "node", "label"]).filter(pa.array(keep))
 
-    def runs(self, start: int, end: int) -> Iterator[tuple[int, int]]:
-        while start < end:
-            stop = min(end, int(np.searchsorted(self.words, self.words[start], "right")))
-            yield start, stop
-            start = stop
+    return dealt(members, tile, task_rows).join(sketches, "node").groupBy("u", "x", "y").applyInArrow(test, "unit long, node long, label long").distinct()
 
 
 def dealt(members: DataFrame, tile: int, task_rows: int) -> DataFrame:
@@ -387,33 +439,17 @@ def dealt(members: DataFrame, tile: int, task_rows: int) -> DataFrame:
     return tiles.select(*task, "unit", "node", "label")
 
 
-def compared_in_full(members: DataFrame, sketches: DataFrame, first: DataFrame, rows: DataFrame, percent: int, size: int, tile: int = 4096, text_tile: int = 512, task_rows: int = 1000) -> DataFrame:
+def compared_in_full(members: DataFrame, sketches: DataFrame, first: DataFrame, rows: DataFrame, percent: int, size: int, tile: int = 512, task_rows: int = 250) -> DataFrame:
     """Links (a, b) that join all linked members of each unit (unit, node, label, total) across labels.
 
-    Sketches tell first, in tiles of `tile`, which members have any possible partner; only their texts are moved, in tiles of
-    `text_tile`. In each of those, only pairs that no link found before has joined are emitted, so a tile gives fewer links
-    than members.
+    Sketches tell first which members have any possible partner; only their texts are moved, in tiles of `tile`. In each of
+    those, only pairs that no link found before has joined are emitted, so a tile gives fewer links than members.
     """
 
-    def members_of(group: pa.Table) -> Iterator[list[int]]:
-        by: dict[int, list[int]] = {}
-        for i, u in enumerate(group.column("unit").to_pylist()):
-            by.setdefault(u, []).append(i)
-        yield from by.values()
-
-    def hopeful(group: pa.Table) -> pa.Table:
-        n, marks, labels = group.column("n").to_pylist(), group.column("s").to_pylist(), group.column("label").to_numpy()
-        keep = np.zeros(len(n), bool)
-        for at in members_of(group):
-            own = labels[at]
-            for i, found in Marks([n[k] for k in at], [marks[k] for k in at], percent).candidates():
-                other = found[own[found] != own[i]]
-                if len(other):
-                    keep[at[i]] = True
-                    keep[np.array(at)[other]] = True
-        return group.select(["unit", "node", "label"]).filter(pa.array(keep))
-
-    def links(sets: list[np.ndarray], nodes: list[int], labels: list[int]) -> list[tuple[int, int]]:
+    def test(group: pa.Table) -> pa.Table:
+        sets = [g for chunk in group.column("t").chunks for g in gram_sets(chunk, size)]
+        nodes, labels = group.column("node").to_pylist(), group.column("label").to_pylist()
+        marks = Marks(np.array([len(x) for x in sets]), [sketch(x) for x in sets], percent)
         root = {x: x for x in labels}
 
         def find(x: int) -> int:
@@ -422,27 +458,20 @@ def compared_in_full(members: DataFrame, sketches: DataFrame, first: DataFrame,
             return x
 
         out = []
-        for i, found in Marks([len(x) for x in sets], [sketch(x) for x in sets], percent).candidates():
-            for j in found:
-                x, y = find(labels[i]), find(labels[j])
-                if x != y and linked(sets[i], sets[j], percent):
-                    root[x] = y
-                    out.append((nodes[i], nodes[j]))
-        return out
-
-    def test(group: pa.Table) -> pa.Table:
-        sets = [g for chunk in group.column("t").chunks for g in gram_sets(chunk, size)]
-        nodes, labels = group.column("node").to_pylist(), group.column("label").to_pylist()
-        out = []
-        for at in members_of(group):
-            out += links([sets[i] for i in at], [nodes[i] for i in at], [labels[i] for i in at])
+        for of_size in unit_rows(group.column("unit").to_numpy()).values():
+            for unit in of_size:
+                for i, found in marks.candidates(unit):
+                    for j in found:
+                        x, y = find(labels[i]), find(labels[j])
+                        if x != y and linked(sets[i], sets[j], percent):
+                            root[x] = y
+                            out.append((nodes[i], nodes[j]))
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
-    told = dealt(members, tile, task_rows).join(sketches, "node").groupBy("u", "x", "y").applyInArrow(hopeful, "unit long, node long, label long")
-    told = materialise(told.distinct(), "ngram-hopeful")
+    told = materialise(hopeful(members, sketches, percent), "ngram-hopeful")
     total = materialise(told.groupBy("unit").agg(F.count("*").alias("total")), "ngram-sizes")
     texts = texts_of(told.select("node"), first, rows)
-    return dealt(told.join(total, "unit"), text_tile, task_rows // 4).join(texts, "node").groupBy("u", "x", "y").applyInArrow(test, "a long, b long")
+    return dealt(told.join(total, "unit"), tile, task_rows).join(texts, "node").groupBy("u", "x", "y").applyInArrow(test, "a long, b long")
 
 
 def units(left: DataFrame, tile: int = 4096) -> DataFrame:
@@ -482,6 +511,12 @@ def decided(rows: DataFrame, percent: int, size: int, part_grams: int = 4_000_00
     first = materialise(sets.where("n > 0").groupBy("node").agg(F.min("row_key").alias("row_key")).join(some, "node"), "ngram-first")
     sketches = materialise(named.where("s IS NOT NULL").join(some, "node").groupBy("node").agg(F.first("n").alias("n"), F.first("s").alias("s")), "ngram-sketches")
     discard(surveyed, some)
+    # Most lists are met by chance or by a passage; what the sketches leave of them is near copies.
+    size_of = materialise(members.groupBy("bucket").agg(F.count("*").alias("total")), "ngram-sizes")
+    open_lists = hopeful(members.join(size_of, "bucket").select(F.col("bucket").alias("unit"), "node", F.col("node").alias("label"), "total"), sketches, percent)
+    met_by = materialise(open_lists.select(F.col("unit").alias("bucket"), "node").join(members, ["bucket", "node"]), "ngram-lists")
+    discard(members, size_of)
+    members = met_by
 
     links, written = spark.createDataFrame([], "a long, b long"), []
     for step in range(3):
