@@ -47,9 +47,9 @@ def transformed(name: Column, value: Column, used: list[str]) -> Column:
 
 def apply_rules(facts: DataFrame, rules: DataFrame, used: list[str] | None = None) -> DataFrame:
     """Facts by the rules of their type and level (a rule without level takes any); what a transform gives null for goes.
-    rules is the rule table, which doesn't grow with the data."""
+    Spark broadcasts the rule table if it is as small as such tables are."""
     hit = (facts.fact_type == rules.source_fact_type) & (rules.source_entity_level.isNull() | (rules.source_entity_level == facts.entity_level))
-    both = facts.join(F.broadcast(rules), hit)
+    both = facts.join(rules, hit)
     return both.withColumn("value", transformed(F.col("transform"), F.col("raw_value"), used or list(TRANSFORMS))).where("value IS NOT NULL")
 
 

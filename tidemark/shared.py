@@ -71,10 +71,14 @@ def discard(*tables: DataFrame) -> None:
     _delete([p for t in tables for p in _read_by(t)])
 
 
-def free_but(*tables: DataFrame) -> None:
-    """Delete all scratch tables but those that these read. For a driver that has written what it took from all others."""
-    stay = {p for t in tables for p in _read_by(t)}
-    _delete([p for p in _scratch if p not in stay])
+def scratch_paths() -> set[str]:
+    return set(_scratch)
+
+
+def free(paths: set[str], *but: DataFrame) -> None:
+    """Delete these scratch paths, except what `but` reads. For a caller that has written what it took from all others."""
+    stay = {p for t in but for p in _read_by(t)}
+    _delete([p for p in _scratch if p in paths and p not in stay])
 
 
 @contextmanager
