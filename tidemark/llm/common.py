@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.shared import clean_up, discard, free_but, materialise, scope, scratch, shared_dir, ship
+from tidemark.shared import clean_up, discard, free, materialise, scope, scratch, scratch_paths, shared_dir, ship
 
-__all__ = ["SPACES", "clean_up", "discard", "free_but", "fresh", "keyed", "load", "materialise", "scope", "scratch", "shared_dir", "ship", "small_batches", "text_of", "without_rows"]
+__all__ = ["SPACES", "clean_up", "discard", "free", "fresh", "keyed", "load", "materialise", "scope", "scratch", "scratch_paths", "shared_dir", "ship", "small_batches", "text_of", "without_rows"]
 
 #: White space as the operators define it: the ASCII space and the controls from tab to carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
