@@ -1,5 +1,6 @@
 """DuckDB SQL for the training-data queries that SQL can express."""
 
+from tidemark.llm import secret_scan
 from tidemark.llm.license_scan import RULES, SENTENCES, normalise
 
 _KNOWN = list(dict.fromkeys(map(normalise, SENTENCES)))
@@ -7,7 +8,24 @@ _ID = {normalise(s): i for i, s in reversed(list(enumerate(SENTENCES)))}
 _SENTENCE_ID = "CASE s " + " ".join(f"WHEN '{s}' THEN {_ID[s]}" for s in _KNOWN) + " END"
 _RULES = ", ".join(f"""CASE WHEN contains(told, ',{",".join(str(_ID[normalise(SENTENCES[i])]) for i in r.ids)},') THEN '{r.licence}' END""" for r in RULES)
 
+
+def _matches(rank: int, rule: secret_scan.Rule) -> str:
+    """A rule's matches in order, each with what is between it and the one before."""
+    p = rule.pattern.replace("'", "''")
+    return f"""SELECT doc_id, r, {rank} AS rank, '{rule.kind}' AS kind, {rule.least} AS least, unnest(regexp_extract_all(t, '{p}')) AS m, unnest(regexp_extract_all(t, '{p}', {rule.group})) AS g, unnest(list_slice(string_split_regex(t, '{p}'), 1, -2)) AS b, generate_subscripts(regexp_extract_all(t, '{p}'), 1) AS i FROM d WHERE regexp_matches(t, '{p}')"""
+
+
+#: The pattern of private keys looks ahead, which this SQL's patterns can't, so texts that hold such a key differ.
+_FOUND = " UNION ALL ".join(_matches(i, r) for i, r in enumerate(secret_scan.RULES) if r.kind != "private_key")
+
 SQL = {
+    "op7_secret_scans": rf"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents), f AS ({_FOUND}),
+        s AS (SELECT *, sum(length(b) + length(m)) OVER (PARTITION BY r, rank ORDER BY i) AS e FROM f),
+        k AS (SELECT r, rank, kind, (e - length(m))::BIGINT AS a, e::BIGINT AS e, concat(kind, ':', (e - length(m))::BIGINT, ':', e::BIGINT) AS told FROM s WHERE length(g) >= least),
+        c AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex, string_agg(told, ',' ORDER BY a, rank, e) FILTER (rank < 3) AS base, string_agg(told, ',' ORDER BY a, rank, e) AS spans FROM k GROUP BY 1)
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN c USING (r)
+    """,
     "op8_exact_dedup": r"""
         WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256
