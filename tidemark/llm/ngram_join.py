@@ -194,7 +194,7 @@ def signed(x: np.ndarray) -> pa.Array:
 
 def entries(rows: DataFrame, scheme: Scheme, size: int, ranges: int, frequent: tuple[np.ndarray, np.ndarray], clashing: list[int], flush: int = 4_000_000) -> DataFrame:
     """(part, keys, nodes): blocks of parts of the key range, whose keys are sorted and whose nodes, with their sizes, stand in
-    the same order; written to the shared folder."""
+    the same order. They are read once, by lists(), so they are only written for its exchange."""
     often = rows.sparkSession.sparkContext.broadcast(frequent)  # a list of bounded length
     twice, bits = {x & ((1 << 64) - 1) for x in clashing}, _NODE_BITS
     width = np.uint64((1 << 64) // ranges + 1)
@@ -232,7 +232,7 @@ def entries(rows: DataFrame, scheme: Scheme, size: int, ranges: int, frequent: t
         if held:
             yield blocks()
 
-    return materialise(rows.select("t").mapInArrow(run, "part int, keys binary, nodes binary"), "ngram-entries")
+    return rows.select("t").mapInArrow(run, "part int, keys binary, nodes binary")
 
 
 def node_bytes(nodes: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> bytes:
@@ -502,9 +502,7 @@ def decided(rows: DataFrame, percent: int, size: int, part_grams: int = 4_000_00
     surveyed = survey(rows, size)
     total = surveyed.agg(F.sum("n")).first()[0] or 0
     clashing = clashes(surveyed)
-    found = entries(rows, scheme, size, max(12, -(-total // part_grams)), frequent_grams(surveyed), clashing)
-    members = lists(found, percent)
-    discard(found)
+    members = lists(entries(rows, scheme, size, max(12, -(-total // part_grams)), frequent_grams(surveyed), clashing), percent)
     named = surveyed.where("row_key IS NOT NULL").withColumn("node", F.when(F.col("node").isin(clashing), F.col("check")).otherwise(F.col("node")) if clashing else F.col("node"))
     sets = materialise(named.select("row_key", "id", "n", "node"), "ngram-sets")
     some = materialise(members.select("node").distinct(), "ngram-members")
@@ -523,8 +521,10 @@ def decided(rows: DataFrame, percent: int, size: int, part_grams: int = 4_000_00
         labels = components(links) if step else None
         at = F.coalesce("label", "node") if step else F.col("node")
         with_labels = (members.join(labels, "node", "left") if step else members).withColumn("label", at)
-        open_ = with_labels.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("total"), F.min(F.struct("node", "label")).alias("head")).where("lo < hi")
-        left = materialise(with_labels.join(open_.select("bucket", "total", "head"), "bucket"), "ngram-open")
+        of_list = with_labels.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("total"), F.min(F.struct("node", "label")).alias("head"))
+        heads = materialise(of_list.where("lo < hi").select("bucket", "total", "head"), "ngram-heads")
+        left = materialise(with_labels.join(heads, "bucket"), "ngram-open")
+        discard(heads)
         if labels is not None:
             discard(labels)
         discard(members)
