@@ -76,7 +76,7 @@ def evidence_failures(facts: DataFrame, known: DataFrame, ok: Column) -> DataFra
 
 def missingness(studies: DataFrame, fields: DataFrame, values: DataFrame, supplements: DataFrame, inspected: DataFrame) -> DataFrame:
     """Every study and field (a fixed, short list) with its status: present, unresolved_supplement, not_found or not_inspected."""
-    grid = studies.select("study_id").join(F.broadcast(fields.select("field")))
+    grid = studies.select("study_id", F.explode(fields.agg(F.collect_set("field")).scalar()).alias("field"))
     have = values.select("study_id", "field").distinct().withColumn("_have", F.lit(True))
     unresolved = supplements.select("study_id").distinct().withColumn("_open", F.lit(True))
     seen = inspected.select("study_id").distinct().withColumn("_seen", F.lit(True))
@@ -87,7 +87,7 @@ def missingness(studies: DataFrame, fields: DataFrame, values: DataFrame, supple
 
 def completeness(entities: DataFrame, mandatory: DataFrame, values: DataFrame, by: str) -> DataFrame:
     """Mandatory fields (a short list) that an entity lacks."""
-    grid = entities.select(by).distinct().join(F.broadcast(mandatory.select("field").distinct()))
+    grid = entities.select(by).distinct().select(by, F.explode(mandatory.agg(F.collect_set("field")).scalar()).alias("field"))
     return grid.join(values.select(by, "field"), [by, "field"], "left_anti")
 
 

@@ -11,6 +11,7 @@ from tidemark.catalog import query, table
 from tidemark.operators import extraction as E
 from tidemark.operators import passes as P
 from tidemark.operators import texts as X
+from tidemark.plans.text_queries import PARAGRAPHS
 
 
 @query("p2_experiment_runs", "SELECT DISTINCT l_orderkey AS study_id, l_orderkey * 10 + l_linenumber AS run_id, CASE WHEN l_linenumber % 2 = 0 THEN concat('LIB', l_orderkey) ELSE concat('internal:run:', l_orderkey * 10 + l_linenumber) END AS experiment_id, CASE WHEN l_orderkey % 2 = 0 THEN l_orderkey::VARCHAR END AS sample_id FROM lineitem WHERE l_linenumber < 6 AND l_orderkey % 3 <> 0")
@@ -104,7 +105,10 @@ class LicenceReader(E.Backend):
         return "[" + ",".join(json.dumps({"fact_type": "licence", "value": text.strip(), "evidence_id": at}) for at, _, text in found) + (', {"fact_type": "lic' if found else "]")
 
 
-@query("m1_section_extraction")
+@query("m1_section_extraction", f"""
+    WITH {PARAGRAPHS}, s AS (SELECT doc_id, unnest(ps) AS t, generate_subscripts(ps, 1) AS i FROM p),
+    h AS (SELECT doc_id::VARCHAR AS section_id, concat(doc_id, '.P', lpad(i::VARCHAR, greatest(3, length(i::VARCHAR))::INTEGER, '0')) AS id, t FROM s WHERE contains(t, 'License'))
+    SELECT section_id, 'licence' AS fact_type, regexp_replace(t, '^\\s+|\\s+$', '', 'g') AS value, string_agg(id, ',' ORDER BY id) AS evidence, first(t ORDER BY id) AS quote FROM h GROUP BY section_id, regexp_replace(t, '^\\s+|\\s+$', '', 'g')""")
 def section_extraction(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("section_id"), "text")
     return E.extract(docs, X.paragraphs(F.col("text")), LicenceReader(), ["licence"], "Which licence?")

@@ -81,12 +81,25 @@ def methods_prefix(spark: SparkSession, sf: str) -> DataFrame:
     return X.until_other_heading(lines(spark, sf), "doc_id", "pos", F.col("pos") == 2, F.col("pos").isin(2, 5)).select("doc_id", "pos")
 
 
-@query("w6_chunks")
+#: Paragraphs of the documents as lists in SQL.
+PARAGRAPHS = r"p AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(text, '\n[ \t]*\n|\n'), lambda x: trim(x)), lambda x: x <> '' AND NOT regexp_matches(x, '(?i)^(figure|fig\.|table)\s*\d+')) AS ps FROM documents)"
+
+
+@query("w6_chunks", f"""
+    WITH RECURSIVE {PARAGRAPHS}, r AS (
+        SELECT doc_id, 0::BIGINT AS i, '' AS now, NULL::VARCHAR AS closed FROM p
+        UNION ALL SELECT r.doc_id, i + 1, CASE WHEN now = '' THEN ps[i + 1] WHEN length(now) + 2 + length(ps[i + 1]) <= 2000 THEN now || chr(10) || chr(10) || ps[i + 1] ELSE ps[i + 1] END, CASE WHEN now <> '' AND length(now) + 2 + length(ps[i + 1]) > 2000 THEN now END FROM r JOIN p USING (doc_id) WHERE i < len(ps)),
+    c AS (SELECT doc_id, i, closed AS chunk FROM r WHERE closed IS NOT NULL UNION ALL SELECT doc_id, i + 1, now FROM r JOIN p USING (doc_id) WHERE i = len(ps) AND now <> '')
+    SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INTEGER AS pos, length(chunk)::INTEGER AS n_chars, sha256(chunk) AS digest FROM c""")
 def chunks(spark: SparkSession, sf: str) -> DataFrame:
     return X.posexploded(table(spark, sf, "documents"), "doc_id", X.chunked(X.paragraphs(F.col("text")), 2000), "chunk").select("doc_id", "pos", F.length("chunk").alias("n_chars"), F.sha2("chunk", 256).alias("digest"))
 
 
-@query("sc21_section_budget")
+@query("sc21_section_budget", f"""
+    WITH RECURSIVE {PARAGRAPHS}, r AS (
+        SELECT doc_id, 0::BIGINT AS i, 5000::BIGINT AS room, NULL::VARCHAR AS part FROM p
+        UNION ALL SELECT r.doc_id, i + 1, CASE WHEN length(ps[i + 1]) <= room THEN room - length(ps[i + 1]) WHEN room >= 100 THEN 0 ELSE room END, CASE WHEN length(ps[i + 1]) <= room THEN ps[i + 1] WHEN room >= 100 THEN substr(ps[i + 1], 1, room) END FROM r JOIN p USING (doc_id) WHERE i < len(ps))
+    SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INTEGER AS pos, length(part)::INTEGER AS n_chars, sha256(part) AS digest FROM r WHERE part IS NOT NULL""")
 def budget(spark: SparkSession, sf: str) -> DataFrame:
     return X.posexploded(table(spark, sf, "documents"), "doc_id", X.budgeted(X.paragraphs(F.col("text")), 5000, 100), "part").select("doc_id", "pos", F.length("part").alias("n_chars"), F.sha2("part", 256).alias("digest"))
 
