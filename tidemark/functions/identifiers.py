@@ -43,26 +43,34 @@ def doi(raw: Column) -> Column:
 
 def normalise(kind: Column, raw: Column) -> Column:
     """The normal form for the type; null where the value doesn't fit it; other types are only trimmed."""
-    upper, lower = F.upper(F.trim(raw)), F.lower(F.trim(raw))
-    pmid = F.regexp_replace(F.trim(raw), r"(?i)^pmid:?\s*", "")
-    pmcid = F.when(upper.startswith("PMC"), upper).otherwise(F.concat(F.lit("PMC"), upper))
-    out = F.when(kind.isin("doi", "dataset_doi"), doi(raw))
-    out = out.when(kind == "pmid", F.when(pmid.rlike(r"^\d+$"), pmid)).when(kind == "pmcid", F.when(pmcid.rlike(r"^PMC\d+$"), pmcid))
-    out = out.when(kind.isin("gbif_dataset_key", "obis_dataset_uuid"), F.when(lower.rlike(UUID), lower))
-    for name, pattern in ACCESSIONS.items():
-        out = out.when(kind == name, F.when(upper.rlike(f"^{pattern}$"), upper))
-    return out.otherwise(F.trim(raw))
+
+    def normal(x: Column) -> Column:
+        k, v = x["kind"], x["raw"]
+        upper, lower = F.upper(v), F.lower(v)
+        pmid = F.regexp_replace(v, r"(?i)^pmid:?\s*", "")
+        pmcid = F.when(upper.startswith("PMC"), upper).otherwise(F.concat(F.lit("PMC"), upper))
+        out = F.when(k.isin("doi", "dataset_doi"), doi(v))
+        out = out.when(k == "pmid", F.when(pmid.rlike(r"^\d+$"), pmid)).when(k == "pmcid", F.when(pmcid.rlike(r"^PMC\d+$"), pmcid))
+        out = out.when(k.isin("gbif_dataset_key", "obis_dataset_uuid"), F.when(lower.rlike(UUID), lower))
+        for name, pattern in ACCESSIONS.items():
+            out = out.when(k == name, F.when(upper.rlike(f"^{pattern}$"), upper))
+        return out.otherwise(v)
+
+    return bound(F.struct(kind.alias("kind"), F.trim(raw).alias("raw")), normal)
 
 
 def guess(raw: Column) -> Column:
     """The type of a bare identifier; null rather than a wrong guess."""
-    v = F.trim(raw)
-    out = None
-    for name in GUESS_ORDER:
-        hit = v.rlike(f"(?i)^{ACCESSIONS[name]}$")
-        out = F.when(hit, name) if out is None else out.when(hit, name)
-    bare = F.regexp_replace(F.regexp_replace(v, r"(?i)^(https?://(dx\.)?doi\.org/|doi:)", ""), "^/+|/+$", "")
-    return out.when(v.rlike(r"(?i)^PMC\d+$"), "pmcid").when(bare.rlike(DOI), "doi").when(v.rlike("(?i)^https?://"), "url").when(v.rlike(r"^\d+$"), "pmid")
+
+    def kind(v: Column) -> Column:
+        out = None
+        for name in GUESS_ORDER:
+            hit = v.rlike(f"(?i)^{ACCESSIONS[name]}$")
+            out = F.when(hit, name) if out is None else out.when(hit, name)
+        bare = F.regexp_replace(F.regexp_replace(v, r"(?i)^(https?://(dx\.)?doi\.org/|doi:)", ""), "^/+|/+$", "")
+        return out.when(v.rlike(r"(?i)^PMC\d+$"), "pmcid").when(bare.rlike(DOI), "doi").when(v.rlike("(?i)^https?://"), "url").when(v.rlike(r"^\d+$"), "pmid")
+
+    return bound(F.trim(raw), kind)
 
 
 #: Accessions as they stand in running text, in the order in which they are looked for.

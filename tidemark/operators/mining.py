@@ -7,10 +7,26 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import identifiers as I
 
-#: Patterns of dataset identifiers by pass; a later pass is only tried on texts in which the earlier found nothing.
+#: Repository identifiers by pass; a later pass is only tried on texts in which the earlier found nothing.
 PASSES = (
-    (("bioproject_accession", r"PRJ(?:NA|EB|DB)\d+"), ("sra_study_accession", r"(?:SRP|ERP|DRP)\d+")),
-    (("dataset_doi", r"10\.(?:5061|5281|6084|1594|15468)/[^\s,;)\]]+"),),
+    (
+        ("bioproject_accession", r"PRJ(?:NA|EB|DB)\d+"),
+        ("sra_study_accession", r"(?:SRP|ERP|DRP)\d+"),
+        ("assembly_accession", r"GC[AF]_\d{9}\.\d+"),
+        ("cncb_project_accession", r"PRJCA\d+"),
+        ("cncb_biosample_accession", r"SAMC\d+"),
+        ("cncb_study_accession", r"CRA\d+"),
+        ("cncb_experiment_accession", r"CRX\d+"),
+        ("cncb_run_accession", r"CRR\d+"),
+        ("dataset_doi", r"10\.1594/PANGAEA\.\d+"),
+        ("dataset_doi", r"10\.(?:1575|26008)/1912/(?:bco[-.]dmo|bcodmo)[^\s<>()\[\]{}\"']*"),
+    ),
+    (
+        ("dataset_doi", r"10\.5281/zenodo\.\d+"),
+        ("dataset_doi", r"10\.5061/dryad\.[a-z0-9]+"),
+        ("dataset_doi", r"10\.6084/m9\.figshare\.\d+(?:\.v\d+)?"),
+        ("dataset_doi", r"10\.17605/OSF\.IO/[A-Z0-9]+"),
+    ),
     (("repository_url", r"https?://(?:www\.)?(?:zenodo\.org|datadryad\.org|figshare\.com|osf\.io)/[^\s,;)\]]+"),),
 )
 

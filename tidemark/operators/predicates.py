@@ -121,7 +121,16 @@ def visible(required: Column, active: Column) -> Column:
     return (F.size(required) == 0) | F.arrays_overlap(required, active)
 
 
-def relevant_title(title: Column) -> Column:
-    """Section titles on methods, samples or data, but not results or discussion."""
-    low = F.lower(title)
-    return low.rlike(r"method|material|sampl|data availab|accession|sequenc|supplement") & ~low.rlike(r"result|discussion")
+#: What the titles of sections on methods and data hold, and those of sections that aren't read.
+METHOD_TITLES = ("method", "material", "procedure", r"\bdna\b", "sampl", "study (area|site)", "environmental", "extraction", "fixation", "sorting", "pcr", "qpcr", "quantitative pcr", "amplif", "assay", "primer", "librar", "sequenc", "data analys", "bioinformatic", "taxonom", "standard curve", "data availab", "supplementary method", "quality control")
+RESULT_TITLES = (r"\bresults?\b", r"\bdiscussion\b", r"\bconclusions?\b")
+
+
+def relevant_title(title: Column, above: Column | None = None) -> Column:
+    """Whether a section is read: its title or one above it (an array) is on methods or data, and its own isn't on results,
+    discussion or conclusions."""
+    wanted, unwanted = "(?i)" + "|".join(METHOD_TITLES), "(?i)" + "|".join(RESULT_TITLES)
+    own = title.rlike(wanted)
+    if above is not None:
+        own = own | F.exists(above, lambda t: t.rlike(wanted))
+    return F.coalesce(own & ~title.rlike(unwanted), F.lit(False))
