@@ -154,7 +154,7 @@ def test_supplements(spark, tmp_path):
         z.writestr("nested.zip", b"x")
     (tmp_path / "d.zip").write_bytes(data.getvalue())
     got = {(r.member.rpartition("/")[2], r.field, r.locator, r.value) for r in supplements.cells(spark.read.format("binaryFile").load(str(tmp_path))).collect()}
-    assert got == {("a.csv", "samp_name", "A3", "X1"), ("a.csv", "depth", "B3", "5"), ("a.csv", "note", "C3", "café"), ("b.json", "temp", "$.s[0].temp", "4"), ("c.xml", "temp", "/r/s/temp", "4"), ("bad.json", "unreadable", "", "JSONDecodeError"), ("in.tsv", "decimalLatitude", "A2", "1"), ("in.tsv", "decimalLongitude", "B2", "2")}
+    assert got == {("a.csv", "samp_name", "A3", "X1"), ("a.csv", "depth", "B3", "5"), ("a.csv", "note", "C3", "café"), ("b.json", "temp", "$.s[0].temp", "4"), ("c.xml", "temp", "/r/s/temp", "4"), ("nested.zip", "skipped", "", "nested"), ("bad.json", "unreadable", "", "JSONDecodeError"), ("in.tsv", "decimalLatitude", "A2", "1"), ("in.tsv", "decimalLongitude", "B2", "2")}
 
 
 def test_export_removes_stale_classes(spark, tmp_path):
