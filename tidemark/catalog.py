@@ -29,7 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _load() -> None:
-    from tidemark.plans import detail_queries, flow_queries, graph_queries, more_queries, pass_queries, section_queries, source_queries, strategy_queries, study_queries, text_queries, value_queries  # noqa: F401  they register themselves
+    from tidemark.plans import detail_queries, flow_queries, graph_queries, more_queries, pass_queries, payload_queries, section_queries, source_queries, strategy_queries, study_queries, text_queries, value_queries  # noqa: F401  they register themselves
 
 
 def queries() -> dict[str, Query]:

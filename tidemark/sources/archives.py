@@ -120,3 +120,42 @@ def run_report(rows: DataFrame, most: int = 500) -> DataFrame:
     notes = note.select("study_accession", F.col("study_accession").alias("entity"), "field", "value")
     out = part(study, "project").unionByName(part(runs, "sequencing_run")).unionByName(part(experiments, "experiment_run")).unionByName(part(notes, "project"))
     return out.select("study_accession", "level", "entity", "field", "value")
+
+
+#: Columns of a run report whose accession a study may be looked up by.
+HIERARCHY = ("run_accession", "experiment_accession", "sample_accession", "secondary_sample_accession", "submission_accession", "secondary_study_accession")
+
+
+def parent_studies(accessions: DataFrame, runs: DataFrame) -> DataFrame:
+    """(accession, study_accession): the study of each accession of any level, by landed run reports; several are ambiguous and
+    give the smallest with ambiguous set."""
+    levels = F.array(*(F.upper(F.trim(F.col(c))) for c in HIERARCHY if c in runs.columns))
+    rows = runs.select(F.explode(F.filter(levels, lambda a: a.isNotNull() & (a != ""))).alias("_a"), "study_accession").distinct()
+    g = rows.groupBy("_a").agg(F.min("study_accession").alias("study_accession"), (F.count("*") > 1).alias("ambiguous"))
+    return accessions.select("accession").distinct().join(g, F.upper(F.trim("accession")) == F.col("_a")).select("accession", "study_accession", "ambiguous")
+
+
+def occurrences(payloads: DataFrame, wanted: tuple[str, ...], path: str = "$.results", most: int = 50, key: str = "payload_id", body: str = "body") -> tuple[DataFrame, DataFrame]:
+    """(key, record, field, value): the wanted fields of the first `most` records of a listing, at any depth of a record, and a
+    note for each listing that has more."""
+    from tidemark.sources.payloads import leaves
+
+    records = payloads.select(key, F.posexplode(F.from_json(F.get_json_object(body, path), "array<string>")).alias("record", "r"))
+    first, note = capped(records, key, ["record"], most, "occurrence_coverage_note")
+    each = first.select(key, "record", F.explode(leaves(F.col("r"))).alias("l")).select(key, "record", F.col("l.key").alias("field"), F.col("l.value").alias("value"))
+    return each.where(F.lower("field").isin(*(w.lower() for w in wanted)) & (F.trim("value") != "")).distinct(), note
+
+
+def citing_datasets(payloads: DataFrame, key: str = "payload_id", body: str = "body") -> DataFrame:
+    """(key, doi, relation, cited): datasets of a listing with what they say of which identifier."""
+    related = "array<struct<relatedIdentifier:string,relationType:string>>"
+    each = payloads.select(key, F.explode(F.from_json(F.get_json_object(body, "$.data"), "array<string>")).alias("d"))
+    rows = each.select(key, F.lower(F.get_json_object("d", "$.attributes.doi")).alias("doi"), F.explode(F.from_json(F.get_json_object("d", "$.attributes.relatedIdentifiers"), related)).alias("x"))
+    return rows.select(key, "doi", F.col("x.relationType").alias("relation"), F.lower("x.relatedIdentifier").alias("cited")).where("doi <> '' AND cited <> ''").distinct()
+
+
+def supplement_references(payloads: DataFrame, key: str = "payload_id", body: str = "body") -> DataFrame:
+    """(key, href): files that an article's XML names as supplementary, each once."""
+    parts = F.regexp_extract_all(body, F.lit(r"(?is)<supplementary-material\b.*?</supplementary-material>"), F.lit(0))
+    hrefs = F.flatten(F.transform(parts, lambda p: F.regexp_extract_all(p, F.lit(r"""(?i)xlink:href\s*=\s*["']([^"']+)["']"""), F.lit(1))))
+    return payloads.select(key, F.explode(F.array_distinct(hrefs)).alias("href"))

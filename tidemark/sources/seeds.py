@@ -25,6 +25,13 @@ def excluded_dois(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema="doi string, reason string, date_added string").select(F.lower(F.trim("doi")).alias("doi")).where("doi <> ''").distinct()
 
 
+def exclude(dois: DataFrame, path: str) -> None:
+    """Append DOIs (doi, reason, date_added) to the list, those that it lacks, each once."""
+    spark = dois.sparkSession
+    new = dois.withColumn("_k", F.lower(F.trim("doi"))).dropDuplicates(["_k"]).join(excluded_dois(spark, path).withColumnRenamed("doi", "_k"), "_k", "left_anti")
+    new.select("doi", "reason", "date_added").write.mode("append").csv(path, header=True)
+
+
 GOLD = "case_id string, curated_by string, notes string, section_title string, source_text string, expected_facts array<struct<fact_type_candidate:string, raw_value:string, evidence_quote:string>>"
 
 
