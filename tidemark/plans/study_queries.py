@@ -174,3 +174,37 @@ def sketches(spark: SparkSession, sf: str) -> DataFrame:
     merged = parts.groupBy("o_orderstatus").agg(F.hll_sketch_estimate(F.hll_union_agg("hll")).alias("about"))
     exact = table(spark, sf, "orders").groupBy("o_orderstatus").agg(F.count_distinct("o_custkey").alias("k"), F.percentile("o_totalprice", 0.5).alias("m"), F.percentile_approx("o_totalprice", 0.5, 10000).alias("a"), F.max("o_totalprice").alias("top"))
     return merged.join(exact, "o_orderstatus").select("o_orderstatus", (F.abs(F.col("about") - F.col("k")) <= 1 + 0.1 * F.col("k")).alias("distinct_near"), (F.abs(F.col("m") - F.col("a")) <= 0.1 * F.col("top")).alias("median_near"))
+
+
+CHAIN_RULES = [(1, "the_state", None, "projectMetadata", "status", "identity", None, False), (2, "level", None, "projectMetadata", "platform", "identity", None, False), (3, "level_normalized", None, "projectMetadata", "priority", "identity", None, False), (4, "priority", None, "projectMetadata", "priority", "identity", None, True), (5, "version", None, "projectMetadata", "checkls_ver", "identity", None, False), (6, "volume", None, "projectMetadata", "volume", "identity", None, False)]
+
+
+@query("p1_all_steps", """
+    WITH o AS (SELECT o_custkey AS study_id, o_orderkey AS fact_id, o_orderdate AS created_at, o_orderstatus AS state, o_orderpriority AS level, o_orderkey % 3 <> 0 AS api FROM orders WHERE o_orderkey % 10 <> 0),
+    w AS (SELECT study_id, first(state ORDER BY created_at, fact_id) AS v, min(state) <> max(state) AS differ FROM o GROUP BY 1),
+    d AS (SELECT study_id, lower(level) AS k, min((CASE WHEN api THEN 0 ELSE 1 END, created_at, level)) AS f FROM o GROUP BY 1, 2),
+    n AS (SELECT study_id, first(concat('n', level) ORDER BY created_at, fact_id) AS v, min(level) <> max(level) AS differ FROM o WHERE study_id % 2 = 0 GROUP BY 1), p AS (SELECT study_id, first(level ORDER BY created_at, fact_id) AS v FROM o WHERE study_id % 2 = 1 GROUP BY 1),
+    b AS (SELECT study_id, 'status' AS f, v, differ AS r, 'rules' AS step, 50 AS p FROM w UNION ALL SELECT study_id, 'platform', string_agg(f[3], ' | ' ORDER BY f), count(*) > 1, 'rules', 50 FROM d GROUP BY 1 UNION ALL SELECT study_id, 'priority', v, differ, 'rules', 50 FROM n UNION ALL SELECT study_id, 'priority', v, true, 'rules', 50 FROM p
+        UNION ALL SELECT c_custkey, 'checkls_ver', CASE WHEN c_custkey % 7 = 0 THEN 'own' ELSE 'v1' END, false, 'rules', 50 FROM customer
+        UNION ALL SELECT c_custkey, 'status', 'fused', false, 'fused_primers', 1 FROM customer WHERE c_custkey % 5 = 0 UNION ALL SELECT c_custkey, 'status', 'replicates', true, 'biological_replicates', 2 FROM customer WHERE c_custkey % 10 < 2
+        UNION ALL SELECT c_custkey, 'lib_layout', 'no files', true, 'library_layout', 60 FROM customer UNION ALL SELECT c_custkey, 'lib_layout', c_name, false, 'identity_values', 59 FROM customer WHERE c_custkey % 3 = 0 UNION ALL SELECT c_custkey, 'platform', 'withheld', false, 'withheld_default', 70 FROM customer
+        UNION ALL SELECT c_custkey, 'volume', 'routed', false, 'sample_type_routing', 80 FROM customer WHERE c_custkey % 4 = 0 UNION ALL SELECT c_custkey, 'volume', 'native', false, 'rules', 50 FROM customer WHERE c_custkey % 4 <> 0)
+    SELECT study_id, f AS target_field, first(v ORDER BY p) AS value, first(r ORDER BY p) AS review_required, first(step ORDER BY p) AS step FROM b GROUP BY 1, 2""")
+def all_steps(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.operators import chain as C
+    from tidemark.operators import mapping as M
+
+    c = table(spark, sf, "customer").withColumnRenamed("c_custkey", "study_id")
+    none, at = "CAST(NULL AS BIGINT) AS entity_id", "CAST('2000-01-01' AS TIMESTAMP) AS created_at"
+    head = "study_id", none
+    own = table(spark, sf, "orders").selectExpr("o_custkey AS study_id", none, "o_orderkey AS fact_id", "o_orderdate AS created_at", "CASE WHEN o_orderkey % 10 = 0 THEN 'rejected' ELSE 'accepted' END AS review_status", "CASE WHEN o_orderkey % 3 <> 0 THEN 'structured_source' ELSE 'explicit' END AS support_type", "'study' AS entity_level", "explode(map_entries(map('the_state', o_orderstatus, 'level', o_orderpriority, 'priority', o_orderpriority, 'level_normalized', CASE WHEN o_custkey % 2 = 0 THEN concat('n', o_orderpriority) END))) AS e").selectExpr("*", "e.key AS fact_type", "e.value AS raw_value").drop("e").withColumn("fact_id", F.col("fact_id") * 10 + F.length("fact_type") % 10)  # no two types are of one length
+    more = lambda where, kind, value: c.where(where).selectExpr(*head, "study_id AS fact_id", at, "'accepted' AS review_status", "'explicit' AS support_type", "'study' AS entity_level", f"'{kind}' AS fact_type", f"{value} AS raw_value")
+    facts = own.unionByName(more("study_id % 7 = 0", "version", "'own'")).unionByName(more("true", "volume", "'native'"))
+    step = lambda where, field, value, review: c.where(where).selectExpr(*head, f"'{field}' AS target_field", f"{value} AS value", f"{review} AS review_required")
+    routed = c.where("study_id % 4 = 0").selectExpr("study_id", "'volume' AS field")
+    steps = {
+        "biological_replicates": step("study_id % 10 < 2", "status", "'replicates'", "true"), "identity_values": step("study_id % 3 = 0", "lib_layout", "c_name", "false"), "library_layout": step("true", "lib_layout", "'no files'", "true"),
+        "fused_primers": step("study_id % 5 = 0", "status", "'fused'", "false"), "withheld_default": step("true", "platform", "'withheld'", "false"), "sample_type_routing": step("study_id % 4 = 0", "volume", "'routed'", "false"),
+    }
+    out = C.map_studies(facts, spark.createDataFrame(CHAIN_RULES, M.RULES), ["identity"], {"checklist_version": more("true", "version", "'v1'")}, steps, None, {"level_normalized": "priority"}, ["platform"], routed)
+    return out.drop("entity_id")
