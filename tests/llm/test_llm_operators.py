@@ -466,7 +466,7 @@ def test_every_license_rule_fires_verbatim_and_wrapped(spark):
     rows = []
     for k, r in enumerate(rules):
         whole = "\n\n".join(s[i] for i in r.ids)
-        rows += [(k, "verbatim", f"A title\n{whole}\n\nThe end"), (k, "one line", " ".join(s[i] for i in r.ids))]
+        rows += [(k, "verbatim", f"A title\n{whole}\n\nThe end"), (k, "one line", " ".join(s[i] if s[i][-1] in ".:" else f"{s[i]}." for i in r.ids))]  # a title on the same line needs an end
         for width in (20, 33, 50, 60, 78):
             lines = ["\n".join(textwrap.wrap(s[i], width)) for i in r.ids]
             rows += [(k, f"{width}", "A title\n" + "\n\n".join(lines) + "\n\nThe end"), (k, f"# {width}", "\r\n#\r\n".join(lines).replace("\n", "\n#  "))]

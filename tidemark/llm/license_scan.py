@@ -89,8 +89,11 @@ SENTENCES += tuple(f"SPDX-License-Identifier: {x}" for x in SPDX)
 
 @dataclass(frozen=True)
 class Rule:
+    """A licence by an ordered sequence of identifiers, except where that is part of the sequence `unless`."""
+
     licence: str
     ids: tuple[int, ...]
+    unless: tuple[int, ...] = ()
 
 
 RULES = (
@@ -105,7 +108,7 @@ RULES = (
     Rule("CC-BY-SA-4.0", (11,)),
     Rule("CC-BY-NC-4.0", (12,)),
     Rule("public-domain", (13,)),
-    Rule("BSD-2-Clause", (14, 15, 16, 24)),
+    Rule("BSD-2-Clause", (14, 15, 16), (14, 15, 16, 25)),
     Rule("BSD-3-Clause", (14, 15, 16, 25)),
     Rule("MPL-2.0", (17,)),
     Rule("all-rights-reserved", (18,)),
@@ -184,7 +187,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known:
     found = F.regexp_extract_all(marked(text_of(text_col)), F.lit(f"(?<=[E\n])(?:{'|'.join(patterns) or '(?!)'})(?=[E\n])"), F.lit(0))
     rows = docs.select(F.col(id_col), F.transform(found, lambda s: F.element_at(lookup, F.translate(s, "E\n", "  "))).alias("sentence_ids"))
     told = rows.withColumn("told", F.concat(F.lit(","), F.array_join("sentence_ids", ","), F.lit(",")))
-    hits = [(r.licence, F.col("told").contains("," + ",".join(str(same[i]) for i in r.ids) + ",")) for r in rules]
+    sequence = lambda ids: "," + ",".join(str(same[i]) for i in ids) + ","
+    left = lambda r: F.replace(F.col("told"), F.lit(sequence(r.unless)), F.lit(",")) if r.unless else F.col("told")
+    hits = [(r.licence, left(r).contains(sequence(r.ids))) for r in rules]
     matched = F.filter(F.array(*(F.when(h, F.lit(name)) for name, h in hits)), lambda x: x.isNotNull())
     return told.select(id_col, "sentence_ids", F.array_join(F.array_sort(F.array_distinct(matched)), ",").alias("licences"), F.size(matched).cast("long").alias("n_rules"))
 

@@ -6,7 +6,9 @@ from tidemark.llm.license_scan import RULES, SENTENCES, normalise
 _KNOWN = list(dict.fromkeys(map(normalise, SENTENCES)))
 _ID = {normalise(s): i for i, s in reversed(list(enumerate(SENTENCES)))}
 _SENTENCE_ID = "CASE s " + " ".join(f"WHEN '{s}' THEN {_ID[s]}" for s in _KNOWN) + " END"
-_RULES = ", ".join(f"""CASE WHEN contains(told, ',{",".join(str(_ID[normalise(SENTENCES[i])]) for i in r.ids)},') THEN '{r.licence}' END""" for r in RULES)
+_TOLD = lambda ids: "," + ",".join(str(_ID[normalise(SENTENCES[i])]) for i in ids) + ","
+_LEFT = lambda r: f"replace(told, '{_TOLD(r.unless)}', ',')" if r.unless else "told"
+_RULES = ", ".join(f"CASE WHEN contains({_LEFT(r)}, '{_TOLD(r.ids)}') THEN '{r.licence}' END" for r in RULES)
 
 
 def _matches(rank: int, rule: secret_scan.Rule) -> str:
