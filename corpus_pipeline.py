@@ -2,6 +2,10 @@
 
 Each stage takes what its predecessor kept, as a Parquet table with the columns of documents; the last gives packed pieces.
 A stage's result must be written before the next stage is called, which then deletes the tables that it was made from.
+
+Further columns are kept, whatever their names. A null text is an empty one, and stays null: the quality rules reject both; exact
+dedup takes all such rows for copies of one another; the n-gram join and the secret scan keep them; packing gives each its end
+token. Of repeated rows one stays after dedup. An empty table gives empty results.
 """
 
 from __future__ import annotations
