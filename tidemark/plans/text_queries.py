@@ -123,7 +123,9 @@ def page_text(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", X.plain(F.col("html")).alias("text"))
 
 
-@query("sc21_page_sections")
+@query("sc21_page_sections", r"""
+    WITH b AS (SELECT page_id, string_split_regex(html, '(?i)<h[1-3][^>]*>')[2:] AS bs FROM pages), e AS (SELECT page_id, unnest(bs) AS b, generate_subscripts(bs, 1) - 1 AS pos FROM b)
+    SELECT page_id, pos::INTEGER AS pos, trim(regexp_replace(regexp_replace(regexp_extract(b, '(?is)^(.*?)</h[1-3]>', 1), '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS title, trim(regexp_replace(regexp_replace(regexp_extract(b, '(?is)</h[1-3]>(.*)$', 1), '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM e""")
 def page_sections(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", F.posexplode(X.leaf_sections(F.col("html"))).alias("pos", "s")).select("page_id", "pos", "s.title", "s.text")
 
