@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from tidemark import catalog
+from tidemark.operators import seeds
 
 
 @pytest.fixture
@@ -31,3 +32,15 @@ def test_ties_take_the_first_row(same):
         rows = ", ".join(f"({k}, {supplier}, '{flag}')" for k in (1, 2, 4) for supplier, flag in ((0, flags[0]), (4, flags[1]), (1, "R")))
         got = same("a4_cross_source_agreement", lineitem=f"select k::bigint as l_orderkey, s::bigint as l_suppkey, f as l_returnflag, 1 as l_linenumber, timestamp '2020-01-01' as l_shipdate from (values {rows}) v(k, s, f)")
         assert len(got) == 3 and all(status in r for r in got)
+
+
+LINES = "select k::bigint as l_orderkey, n::int as l_linenumber, (k % 50)::double as l_quantity from (select unnest([1, 2, 3, 4, 1000001, 1000002, 1000003, 1000004]) as k), (select unnest([1, 2, 3, 4]) as n)"
+
+
+def test_seed_numbers_that_repeat(same):
+    same("p19_seed_ingest", lineitem=LINES, orders="select k::bigint as o_orderkey, 'F' as o_orderstatus from (select unnest([2, 1000004]) as k)")
+
+
+def test_a_new_study_is_named_as_told(spark):
+    got = seeds.ingest(spark.createDataFrame([(7, "acc", "x"), (8, "acc", "x")], "seed_id long, type string, value string"), spark.createDataFrame([], "doi string"), spark.createDataFrame([], "type string, value string, study_id string"), lambda k: k.cast("string"))
+    assert {tuple(r) for r in got.collect()} == {(7, "7"), (8, "7")}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -89,17 +91,21 @@ def paper_seeds(mgnify: DataFrame, ena: DataFrame, candidates_m: DataFrame, cand
     return seed_report(mgnify, candidates_m, "mgnify").unionByName(seed_report(ena, candidates_e, "ena"))
 
 
-def ingest(seeds: DataFrame, excluded: DataFrame, known: DataFrame) -> DataFrame:
+def new_study(group: Column) -> Column:
+    return F.concat(F.lit("NEW-"), group.cast("string"))
+
+
+def ingest(seeds: DataFrame, excluded: DataFrame, known: DataFrame, new: Callable[[Column], Column] = new_study) -> DataFrame:
     """(seed_id, study_id): seeds that aren't excluded, with the known study of one of their identifiers, else a new one; seeds
     of one batch that share an identifier become one study. A seed with an excluded DOI goes with all its identifiers. seeds:
-    seed_id, type, value; known: type, value, study_id."""
+    seed_id, type, value; known: type, value, study_id. new names a new study by its smallest seed."""
     out = seeds.join(excluded.select(F.lit("doi").alias("type"), F.col("doi").alias("value")), ["type", "value"], "left_semi").select("seed_id").distinct()
     rows = seeds.join(out, "seed_id", "left_anti")
     heads = rows.groupBy("type", "value").agg(F.min("seed_id").alias("b"))
     labels = components(rows.join(heads, ["type", "value"]).select(F.col("seed_id").alias("a"), "b"))
     groups = rows.join(labels, rows.seed_id == labels.node, "left").withColumn("group", F.coalesce("label", "seed_id"))
     found = groups.join(known, ["type", "value"], "left").groupBy("group").agg(F.min("study_id").alias("old"))
-    return groups.select("seed_id", "group").distinct().join(found, "group").select("seed_id", F.coalesce("old", F.concat(F.lit("NEW-"), F.col("group").cast("string"))).alias("study_id"))
+    return groups.select("seed_id", "group").distinct().join(found, "group").select("seed_id", F.coalesce("old", new(F.col("group"))).alias("study_id"))
 
 
 def merged_candidates(rows: DataFrame, keys: list[str], fills: list[str], score: str) -> DataFrame:
