@@ -5,6 +5,7 @@ import pytest
 
 from tidemark import catalog
 from tidemark.operators import seeds
+from tidemark.sources import archives
 
 
 @pytest.fixture
@@ -44,3 +45,9 @@ def test_seed_numbers_that_repeat(same):
 def test_a_new_study_is_named_as_told(spark):
     got = seeds.ingest(spark.createDataFrame([(7, "acc", "x"), (8, "acc", "x")], "seed_id long, type string, value string"), spark.createDataFrame([], "doi string"), spark.createDataFrame([], "type string, value string, study_id string"), lambda k: k.cast("string"))
     assert {tuple(r) for r in got.collect()} == {(7, "7"), (8, "7")}
+
+
+def test_uids_of_several_records(same, spark):
+    same("sc7_resolved_uids", lineitem=LINES)
+    found = archives.resolved_uids(spark.createDataFrame([("B", 1, 9), ("B", 2, 5)], "accession string, position int, uid long"), spark.createDataFrame([(5, "A"), (5, " b"), (5, "b"), (9, None)], "uid long, own string"))
+    assert [tuple(r) for r in found.collect()] == [("B", 5, False)]

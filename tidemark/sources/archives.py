@@ -55,14 +55,14 @@ def project_facts(payloads: DataFrame, key: str = "payload_id", body: str = "bod
 
 def resolved_uids(searches: DataFrame, summaries: DataFrame) -> DataFrame:
     """(accession, uid, ambiguous): which record a search for an accession means. searches: accession, position, uid; summaries:
-    uid, own (its own accession).
+    uid, own (its own accession; a uid that several summaries give has all of theirs).
 
     The only hit is it; of several, the first whose own accession is the one searched for; if none is, the first, which is
     ambiguous and goes to review.
     """
-    rows = searches.join(summaries.groupBy("uid").agg(F.min("own").alias("own")), "uid", "left")
-    same = F.upper(F.trim("own")) == F.upper(F.trim("accession"))
-    g = rows.groupBy("accession").agg(F.count("*").alias("n"), F.min(F.struct("position", "uid")).alias("first"), F.min(F.when(same, F.struct("position", "uid"))).alias("exact"))
+    named = summaries.select("uid", F.upper(F.trim("own")).alias("_own")).distinct().withColumn("_same", F.lit(True))
+    rows = searches.withColumn("_own", F.upper(F.trim("accession"))).join(named, ["uid", "_own"], "left")
+    g = rows.groupBy("accession").agg(F.count("*").alias("n"), F.min(F.struct("position", "uid")).alias("first"), F.min(F.when(F.col("_same"), F.struct("position", "uid"))).alias("exact"))
     return g.select("accession", F.coalesce("exact.uid", "first.uid").alias("uid"), ((F.col("n") > 1) & F.col("exact").isNull()).alias("ambiguous"))
 
 
