@@ -1,10 +1,12 @@
 """Queries against their SQL on tables that are larger, or repeat more, than the smallest ones."""
 
+import random
+
 import duckdb
 import pytest
 
 from tidemark import catalog
-from tidemark.operators import seeds
+from tidemark.operators import resolution, seeds
 from tidemark.sources import archives
 
 
@@ -51,3 +53,34 @@ def test_uids_of_several_records(same, spark):
     same("sc7_resolved_uids", lineitem=LINES)
     found = archives.resolved_uids(spark.createDataFrame([("B", 1, 9), ("B", 2, 5)], "accession string, position int, uid long"), spark.createDataFrame([(5, "A"), (5, " b"), (5, "b"), (9, None)], "uid long, own string"))
     assert [tuple(r) for r in found.collect()] == [("B", 5, False)]
+
+
+@pytest.mark.parametrize("form", ["pairs", "classes"])
+def test_resolution_without_pairs(spark, form):
+    """Identifiers of many studies against brute force: the smallest study that no lineage links, and the consistent one."""
+    rng = random.Random(7)
+    studies = [(s, rng.choice([None, rng.randrange(400)]), rng.choice([None, None, rng.randrange(3)])) for s in range(390)]
+    known = [(rng.randrange(400), "doi", str(rng.choice([0, 0, 1, 2]))) for _ in range(600)] + [(9, "doi", "7"), (8, "biosample_accession", "1")]
+    evidence = [(i, rng.choice([None, *range(0, 400, 7)]), rng.choice(["doi", "doi", "biosample_accession"]), str(rng.choice([0, 1, 2, 7, 8])), rng.choice(["structured_source", "explicit", "inferred"]), i % 5) for i in range(700)]
+    parent, root = {s: p for s, p, _ in studies}, {s: s if r is None else r for s, _, r in studies}
+    ok = lambda s, o: o % 5 < 2 and (s + o) % 2 == 0
+    have, firsts = {}, {}
+    for s, t, v in known:
+        have.setdefault((t, v), set()).add(s)
+    for i, s, t, v, _, at in sorted(evidence, key=lambda e: (e[5], e[0])):
+        if (t, v) not in have:
+            firsts.setdefault((t, v), (i, s))
+    want = set()
+    for i, s, t, v, how, _ in evidence:
+        others = have.get((t, v)) or {firsts[t, v][1]}
+        free = sorted(o for o in others if None not in (s, o) and o != s and not (parent.get(s) == o or parent.get(o) == s or (s in root and o in root and root[s] == root[o])))
+        good = [o for o in free if ok(s, o)]
+        merged = free[0] if free and len(others) == 1 and how == "structured_source" else good[0] if good and how != "inferred" else None
+        what = "record" if firsts.get((t, v), (None,))[0] == i else "noop" if s in others and s is not None else "share" if t != "doi" or not free else "sibling" if merged is None else "merge"
+        want.add((i, what, {"merge": merged, "sibling": free[0] if free else None}.get(what)))
+    ids = range(400)
+    of = spark.createDataFrame
+    pairs = of([(s, o, ok(s, o)) for s in range(0, 400, 7) for o in ids], "study_id long, other long, consistent boolean")
+    classes = of([(s, s % 2) for s in ids], "study_id long, class int"), of([(o, o % 2) for o in ids if o % 5 < 2], "other long, class int")
+    got = resolution.resolve(of(evidence, "evidence_id long, study_id long, type string, value string, confidence string, created_at long"), of(known, "study_id long, type string, value string"), of(studies, "study_id long, parent_id long, root_id long"), pairs if form == "pairs" else classes)
+    assert {(r.evidence_id, r.decision, r.other) for r in got.collect()} == want

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.operators.graph import merged_ids
 from tidemark.shared import materialise
@@ -21,35 +22,70 @@ def lineage_linked(pairs: DataFrame, studies: DataFrame) -> DataFrame:
     return both.withColumn("linked", F.coalesce(linked, F.lit(False))).drop("_p_study_id", "_p_other", "_r_study_id", "_r_other")
 
 
-def resolve(evidence: DataFrame, known: DataFrame, studies: DataFrame, consistency: DataFrame, data_types: tuple[str, ...] = DATA_TYPES) -> DataFrame:
+def first_unlinked(asks: DataFrame, claims: DataFrame, studies: DataFrame, at: list[str]) -> DataFrame:
+    """(study_id, *at, other): per ask (study_id, *at) the smallest `other` of the claims (*at, other) at its place that no lineage
+    links to it; asks without one don't appear. Claims and asks are distinct, and no study asks where it claims.
+
+    No pair of an ask and a claim is formed but parents and children: claims of one root are a run in order, runs are in the
+    order of their first claims, and the first number that isn't taken away is the one that is sought.
+    """
+    side = studies.select("study_id", "parent_id", F.concat(F.lit("="), F.coalesce("root_id", "study_id").cast("string")).alias("_c")).distinct()
+    rank = lambda by, order: F.row_number().over(Window.partitionBy(*by).orderBy(order))
+    theirs = claims.join(side.withColumnsRenamed({"study_id": "other", "parent_id": "_p"}), "other", "left").withColumn("_c", F.coalesce("_c", F.lit("")))
+    theirs = materialise(theirs.withColumn("_i", rank([*at, "_c"], "other")), "claims")
+    runs = materialise(theirs.where("_i = 1").select(*at, "_c", "other", rank(at, "other").alias("_k")), "runs")
+    mine = materialise(asks.join(side, "study_id", "left"), "asks")
+    key = ["study_id", *at]
+    parent = mine.where("parent_id IS NOT NULL").select(*key, F.col("_c").alias("_own"), F.col("parent_id").alias("other")).join(theirs.select(*at, "other", "_c", "_i"), [*at, "other"])
+    child = theirs.where("_p IS NOT NULL").select(*at, F.col("_p").alias("study_id"), "other", "_c", "_i").join(mine.select(*key, F.col("_c").alias("_own")), key)
+    gone = materialise(parent.select(*key, "_own", "_c", "_i").union(child.select(*key, "_own", "_c", "_i")).where("_own IS NULL OR _own <> _c").select(*key, "_c", "_i").distinct(), "gone")
+
+    def free(taken: DataFrame, by: list[str], number: str) -> DataFrame:
+        """Per key the smallest number from 1 that isn't among its (distinct) numbers."""
+        return taken.withColumn("_n", rank(by, number)).groupBy(*by).agg((F.count_if(F.col(number) == F.col("_n")) + 1).cast("int").alias(number))
+
+    inside = free(gone, [*key, "_c"], "_i").join(theirs.select(*at, "_c", "_i", "other"), [*at, "_c", "_i"])
+    touched = gone.select(*key, "_c").union(mine.where("_c IS NOT NULL").select(*key, "_c")).distinct().join(runs.select(*at, "_c", "_k"), [*at, "_c"])
+    outside = mine.select(*key).distinct().join(free(touched.select(*key, "_k"), key, "_k"), key, "left").withColumn("_k", F.coalesce("_k", F.lit(1))).join(runs.select(*at, "_k", "other"), [*at, "_k"])
+    return inside.select(*key, "other").union(outside.select(*key, "other")).groupBy(*key).agg(F.min("other").alias("other"))
+
+
+def resolve(evidence: DataFrame, known: DataFrame, studies: DataFrame, consistency: DataFrame | tuple[DataFrame, DataFrame], data_types: tuple[str, ...] = DATA_TYPES) -> DataFrame:
     """(evidence_id, study_id, type, value, decision, other): what becomes of each piece of evidence.
 
     evidence: evidence_id, study_id, type, value, confidence, created_at; known: study_id, type, value; consistency:
-    study_id, other, consistent (a pair that isn't there isn't). An identifier that no study has is recorded; of several
+    study_id, other, consistent (a pair that isn't there isn't), or two tables (study_id, class) and (other, class) whose
+    pairs of one class are consistent. An identifier that no study has is recorded; of several
     pieces of new evidence for one, the oldest is, and the others meet it. One that the study has itself is left. One of data
     is shared, and so is one of studies that discovery links. Else a structured source merges with the only other study, and
     evidence that isn't inferred with the only, or first, consistent one; the rest splits off a sibling for review.
+
+    Evidence and the studies that have its identifier aren't paired, so a frequent identifier costs no more than its rows.
     """
-    news = evidence.join(known.select("type", "value").distinct(), ["type", "value"], "left_anti")
-    first = news.groupBy("type", "value").agg(F.min(F.struct("created_at", "evidence_id", "study_id")).alias("f"))
-    recorded = first.select("type", "value", F.col("f.study_id").alias("other"), F.col("f.evidence_id").alias("_by"))
-    claims = known.select("type", "value", F.col("study_id").alias("other")).distinct().withColumn("_by", F.lit(None).cast(evidence.schema["evidence_id"].dataType)).unionByName(recorded)
-    met = evidence.join(claims, ["type", "value"], "left")
-    met = lineage_linked(met, studies).join(consistency.where("consistent").select("study_id", "other", F.lit(True).alias("_ok")).distinct(), ["study_id", "other"], "left")
-    other = (F.col("other") != F.col("study_id")) & F.col("other").isNotNull()
-    free = other & ~F.col("linked")
-    per = met.groupBy("evidence_id", "study_id", "type", "value", "confidence").agg(
-        F.max(F.col("_by") == F.col("evidence_id")).alias("new"),
-        F.max(F.col("other") == F.col("study_id")).alias("own"),
-        F.count_if(other).alias("n"),
-        F.count_if(free).alias("free"),
-        F.min(F.when(free, F.col("other"))).alias("only"),
-        F.min(F.when(free & F.col("_ok"), F.col("other"))).alias("best"),
-    )
-    structured, inferred, one = F.col("confidence") == "structured_source", F.col("confidence") == "inferred", F.col("n") == 1
+    at = ["type", "value"]
+    news = evidence.join(known.select(*at).distinct(), at, "left_anti")
+    first = news.groupBy(*at).agg(F.min(F.struct("created_at", "evidence_id", "study_id")).alias("f"))
+    recorded = materialise(first.select(*at, F.col("f.study_id").alias("other"), F.col("f.evidence_id").alias("_by")), "recorded")
+    claims = materialise(known.select(*at, F.col("study_id").alias("other")).where("other IS NOT NULL").distinct().unionByName(recorded.where("other IS NOT NULL").drop("_by")), "claims")
+    rows = evidence.groupBy("evidence_id", "study_id", *at, "confidence").agg(F.count("*").alias("_m"))
+    per = rows.join(recorded.select(*at, F.col("_by").alias("evidence_id"), F.lit(True).alias("new")), [*at, "evidence_id"], "left")
+    per = per.join(claims.groupBy(*at).agg(F.count("*").alias("_all")), at, "left")
+    per = materialise(per.join(claims.select(*at, F.col("other").alias("study_id"), F.lit(True).alias("own")), [*at, "study_id"], "left"), "evidence")
+    asks = per.where("new IS NULL AND own IS NULL AND _all > 0").where(~F.col("type").isin(*data_types)).select("study_id", *at).distinct().where("study_id IS NOT NULL")
+    key = ["study_id", *at]
+    only = first_unlinked(asks, claims, studies, at).withColumnRenamed("other", "only")
+    if isinstance(consistency, tuple):
+        takes, offers = (t.distinct() for t in consistency)
+        best = first_unlinked(asks.join(takes, "study_id"), claims.join(offers, "other"), studies, [*at, "class"])
+    else:
+        good = consistency.where("consistent").select("study_id", "other").distinct()
+        best = lineage_linked(asks.join(good, "study_id").join(claims, [*at, "other"], "left_semi"), studies).where("NOT linked")
+    best = best.groupBy(*key).agg(F.min("other").alias("best"))
+    per = per.join(only, key, "left").join(best, key, "left")
+    structured, inferred, one = F.col("confidence") == "structured_source", F.col("confidence") == "inferred", F.col("_all") * F.col("_m") == 1
     merged = F.when(one & structured, F.col("only")).when(~inferred, F.col("best"))
-    decision = F.when(F.coalesce("new", F.lit(False)), "record").when(F.coalesce("own", F.lit(False)), "noop").when(F.col("type").isin(*data_types) | (F.col("free") == 0), "share").when(merged.isNotNull(), "merge").otherwise("sibling")
-    return per.select("evidence_id", "study_id", "type", "value", decision.alias("decision"), F.when(decision == "merge", merged).when(decision == "sibling", F.col("only")).alias("other"))
+    decision = F.when(F.coalesce("new", F.lit(False)), "record").when(F.coalesce("own", F.lit(False)), "noop").when(F.col("type").isin(*data_types) | F.col("only").isNull(), "share").when(merged.isNotNull(), "merge").otherwise("sibling")
+    return per.select("evidence_id", "study_id", *at, decision.alias("decision"), F.when(decision == "merge", merged).when(decision == "sibling", F.col("only")).alias("other"))
 
 
 def merges(decisions: DataFrame) -> DataFrame:
