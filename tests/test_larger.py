@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from tidemark import catalog
-from tidemark.operators import resolution, seeds
+from tidemark.operators import mining, resolution, seeds
 from tidemark.sources import archives
 
 
@@ -84,3 +84,19 @@ def test_resolution_without_pairs(spark, form):
     classes = of([(s, s % 2) for s in ids], "study_id long, class int"), of([(o, o % 2) for o in ids if o % 5 < 2], "other long, class int")
     got = resolution.resolve(of(evidence, "evidence_id long, study_id long, type string, value string, confidence string, created_at long"), of(known, "study_id long, type string, value string"), of(studies, "study_id long, parent_id long, root_id long"), pairs if form == "pairs" else classes)
     assert {(r.evidence_id, r.decision, r.other) for r in got.collect()} == want
+
+
+@pytest.mark.parametrize(("members", "visits"), [(10**6, 10**9), (300, 2000)])
+def test_siblings_without_pairs(spark, members, visits):
+    """Shared prefixes, equal lists, repeated links, nulls and lonely studies against brute force, in one cell and in a grid."""
+    rng = random.Random(3)
+    links = [(f"s{rng.randrange(150)}", min(rng.randrange(60), rng.randrange(60))) for _ in range(900)] * 2 + [("lone", 99), (None, 1), ("s1", None), ("x", 98), ("y", 98), ("z", 98)]
+    own, of = {}, {}
+    for s, e in links:
+        if s is not None and e is not None:
+            own.setdefault(s, set()).add(e)
+            of.setdefault(e, set()).add(s)
+    want = {s: len(set().union(*(of[e] for e in es))) - 1 for s, es in own.items()}
+    out = mining.siblings(spark.createDataFrame(links, "study_id string, entity_id long"), members, visits)
+    assert "SortMergeJoin" not in out._jdf.queryExecution().toString() and "BroadcastHashJoin" not in out._jdf.queryExecution().toString()
+    assert {r.study_id: r.n for r in out.collect()} == {s: n for s, n in want.items() if n}
