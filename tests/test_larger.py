@@ -100,3 +100,13 @@ def test_siblings_without_pairs(spark, members, visits):
     out = mining.siblings(spark.createDataFrame(links, "study_id string, entity_id long"), members, visits)
     assert "SortMergeJoin" not in out._jdf.queryExecution().toString() and "BroadcastHashJoin" not in out._jdf.queryExecution().toString()
     assert {r.study_id: r.n for r in out.collect()} == {s: n for s, n in want.items() if n}
+
+
+def test_a_long_text_fills_no_more_than_the_bound():
+    from tidemark.llm import bpe, packing
+    from tidemark.llm.queries import WORDS
+
+    words = packing.WordBpe(bpe.rank_file(WORDS).decode(), most=100)
+    text = " ".join(f"w{i}" for i in range(1000)).encode()
+    assert words.encode(text) == b"".join(map(words.stretch, text.split()))
+    assert len(words.known) <= 100

@@ -43,7 +43,7 @@ class WordBpe:
     words that are remembered.
     """
 
-    def __init__(self, data: str, most: int = 400_000) -> None:
+    def __init__(self, data: str, most: int = 100_000) -> None:
         import regex
         import tiktoken
         from tokenizers import Tokenizer
@@ -77,14 +77,14 @@ class WordBpe:
         return np.array(ids, dtype="<u4").tobytes()
 
     def words(self, text: bytes) -> bytes:
-        if len(self.known) > self.most:
-            self.known.clear()
         known, out = self.known, []
         for w in text.split():
             x = known.get(w)
             if x is None:
                 x = self.stretch(w)
                 if len(w) <= 64:
+                    if len(known) >= self.most:
+                        known.clear()
                     known[w] = x
             out.append(x)
         return b"".join(out)
@@ -181,10 +181,12 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, limit: int = 4096, wi
                 size += len(ids[-1]) // 4
                 if size >= window:
                     out, n = packed(keys, ids, id_type, first)
-                    yield out
+                    yield from (out.slice(i, 64) for i in range(0, out.num_rows, 64))
+                    del out
                     first, keys, ids, size = first + n, [], [], 0
         if keys:
-            yield packed(keys, ids, id_type, first)[0]
+            out, _ = packed(keys, ids, id_type, first)
+            yield from (out.slice(i, 64) for i in range(0, out.num_rows, 64))
 
     schema = f"{id_col} {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids binary" * with_ids
     return docs.select(id_col, docs[text_col].cast("string").alias(text_col)).mapInArrow(run, schema)
